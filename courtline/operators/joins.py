@@ -11,9 +11,22 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+_checked: dict[tuple, bool] = {}
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows+1).
+
+    The answer for a plain scan of stored files is remembered per session and
+    file set, so a dimension read by many queries is checked once."""
+    files = tuple(sorted(dim.inputFiles()))
+    key = (dim.sparkSession.sparkContext.applicationId, files, tuple(dim.columns), max_rows)
+    if files and key in _checked:
+        return _checked[key]
+    ok = dim.limit(max_rows + 1).count() <= max_rows
+    if files:
+        _checked[key] = ok
+    return ok
 
 
 def lookup_join(

@@ -232,3 +232,199 @@ ORACLE: dict[str, str] = {
     "rpt_team_standings": _with(RPT_TEAM_STANDINGS, "SELECT * FROM rpt_team_standings"),
     "rpt_player_rankings": _with(RPT_PLAYER_RANKINGS, "SELECT * FROM rpt_player_rankings"),
 }
+
+
+# --- operator keys -------------------------------------------------------------
+
+GAMES_JSON = """
+games_json AS (
+  SELECT CAST(og.o_orderdate AS DATE) AS partition_date,
+         CAST(to_json({
+           'id': og.o_orderkey,
+           'date': strftime(og.o_orderdate, '%Y-%m-%d'),
+           'season': year(og.o_orderdate),
+           'status': og.o_orderstatus,
+           'home_team': {'abbreviation': 'N' || CAST(og.hk AS VARCHAR), 'full_name': hn.n_name},
+           'visitor_team': {'abbreviation': 'N' || CAST(og.vk AS VARCHAR), 'full_name': vn.n_name},
+           'home_team_score': 85 + (og.o_orderkey * 7) % 46,
+           'visitor_team_score': 85 + (og.o_custkey * 13 + og.o_orderkey) % 46
+         }) AS VARCHAR) AS data
+  FROM og
+  JOIN nation hn ON hn.n_nationkey = og.hk
+  JOIN nation vn ON vn.n_nationkey = og.vk
+)"""
+
+CALENDAR = STG_GAMES + """,
+bounds AS (SELECT min(game_date) AS lo, max(game_date) AS hi FROM stg_games),
+days AS (
+  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM bounds
+),
+per_day AS (SELECT game_date AS day, count(*) AS n FROM stg_games GROUP BY game_date),
+calendar AS (
+  SELECT d.day, coalesce(p.n, 0) AS rows FROM days d LEFT JOIN per_day p ON d.day = p.day
+)"""
+
+PAYROLL = """
+payroll AS (
+  SELECT 'N' || CAST(c.c_nationkey AS VARCHAR) AS team_abbr,
+         n.n_name AS team_name,
+         CAST((10000000000 + (((sum(CAST(round(c.c_acctbal * 100) AS BIGINT)) % 9000000000)
+                + 9000000000) % 9000000000)) / 100.0 AS DOUBLE) AS total_salary,
+         CAST(count(*) AS INTEGER) AS num_players
+  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+  GROUP BY c.c_nationkey, n.n_name
+)"""
+
+WATCHLIST = FCT_PLAYER_PERFORMANCE + """,
+last_game AS (
+  SELECT player_id, game_date AS last_game_date, fantasy_points AS last_fp,
+         count(*) OVER (PARTITION BY player_id) AS games,
+         sum(fantasy_points) OVER (PARTITION BY player_id) AS total_fp,
+         row_number() OVER (PARTITION BY player_id
+                            ORDER BY game_date DESC, stat_id DESC, fantasy_points DESC) AS rn
+  FROM fct_player_performance
+),
+form AS (
+  SELECT player_id, last_game_date, last_fp, games - 1 AS n, total_fp - last_fp AS earlier
+  FROM last_game WHERE rn = 1
+),
+alerts AS (
+  SELECT (SELECT max(game_date) FROM fct_player_performance) AS report_date,
+         player_id,
+         CASE WHEN last_fp * n >= 1.5 * earlier THEN 'breakout_game'
+              WHEN last_fp * n <= 0.5 * earlier THEN 'slump_alert' END AS alert_type,
+         CASE WHEN last_fp * n >= 2.0 * earlier OR last_fp * n <= 0.25 * earlier
+              THEN 'high' ELSE 'medium' END AS severity,
+         last_game_date,
+         CAST(last_fp AS DECIMAL(17,1)) AS last_fantasy_points,
+         n AS earlier_games,
+         'Performance threshold exceeded' AS detail
+  FROM form
+  WHERE n >= 5 AND earlier > 0
+    AND (last_fp * n >= 1.5 * earlier OR last_fp * n <= 0.5 * earlier)
+)"""
+
+ORACLE.update({
+    "raw_scan": ORACLE["stg_games"],
+    "land_response": ORACLE["stg_games"],
+    "stream_landing": ORACLE["stg_games"],
+    "partition_replace": _with(
+        STG_GAMES,
+        "SELECT * FROM stg_games WHERE game_date <> (SELECT min(game_date) FROM stg_games)",
+    ),
+    "json_build": _with(STG_GAMES.split("games_typed AS")[0].rstrip().rstrip(",") + "," + GAMES_JSON,
+                        "SELECT partition_date, data FROM games_json"),
+    "json_scalar": """
+SELECT event_id, props->>'k' AS k_text, CAST(props->>'k' AS INTEGER) AS k FROM events""",
+    "json_nested": _with(
+        STG_GAMES,
+        "SELECT game_id, home_team, home_team_name, away_team, away_team_name FROM stg_games",
+    ),
+    "guarded_ratio": _with(
+        STG_PLAYER_STATS,
+        "SELECT stat_id, game_id, player_id, fg_pct, fg3_pct, ft_pct FROM stg_player_stats",
+    ),
+    "efficiency_rating": _with(
+        FCT_PLAYER_PERFORMANCE,
+        "SELECT stat_id, game_id, player_id, efficiency_rating FROM fct_player_performance",
+    ),
+    "weighted_score": _with(
+        FCT_PLAYER_PERFORMANCE,
+        "SELECT stat_id, game_id, player_id, CAST(fantasy_points AS DECIMAL(17,1)) AS fantasy_points "
+        "FROM fct_player_performance",
+    ),
+    "threshold_count": _with(
+        FCT_PLAYER_PERFORMANCE,
+        """SELECT stat_id, game_id, player_id,
+       CASE WHEN points >= 10 THEN 1 ELSE 0 END + CASE WHEN rebounds >= 10 THEN 1 ELSE 0 END
+       + CASE WHEN assists >= 10 THEN 1 ELSE 0 END + CASE WHEN steals >= 10 THEN 1 ELSE 0 END
+       + CASE WHEN blocks >= 10 THEN 1 ELSE 0 END AS double_digit_stats,
+       is_double_double, is_triple_double
+FROM fct_player_performance""",
+    ),
+    "game_type_bucket": _with(
+        FCT_GAME_RESULTS, "SELECT game_id, margin_of_victory, game_type FROM fct_game_results"
+    ),
+    "team_tier_bucket": _with(
+        STG_TEAM_STATS,
+        """SELECT team_abbreviation, stat_date, net_rating,
+       CASE WHEN net_rating > 5 THEN 'Elite'
+            WHEN net_rating > 2 THEN 'Above Average'
+            WHEN net_rating > -2 THEN 'Average'
+            WHEN net_rating > -5 THEN 'Below Average'
+            ELSE 'Rebuilding' END AS team_tier
+FROM stg_team_stats""",
+    ),
+    "group_count": _with(
+        FCT_GAME_RESULTS, "SELECT home_team, count(*) AS games FROM fct_game_results GROUP BY home_team"
+    ),
+    "conditional_count": _with(
+        FCT_GAME_RESULTS,
+        """SELECT home_team, count(*) AS games,
+       CAST(sum(CASE WHEN winner = home_team THEN 1 ELSE 0 END) AS BIGINT) AS home_wins,
+       CAST(sum(CASE WHEN game_type = 'Nail Biter' THEN 1 ELSE 0 END) AS BIGINT) AS nail_biters
+FROM fct_game_results GROUP BY home_team""",
+    ),
+    "latest_per_key": _with(
+        STG_TEAM_STATS,
+        """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY team_abbreviation ORDER BY stat_date DESC) AS rn
+  FROM stg_team_stats) WHERE rn = 1""",
+    ),
+    "global_rank": _with(
+        FCT_GAME_RESULTS,
+        """SELECT game_id, game_date, total_points,
+       row_number() OVER (ORDER BY total_points DESC, game_id) AS points_rank
+FROM fct_game_results""",
+    ),
+    "partition_calendar": _with(CALENDAR, "SELECT day, rows FROM calendar"),
+    "backfill_batches": _with(
+        CALENDAR,
+        """SELECT batch_id, min(day) AS first_day, max(day) AS last_day, count(*) AS n_days,
+       CAST(sum(rows) AS BIGINT) AS rows
+FROM (SELECT *, CAST((day - (SELECT min(day) FROM calendar)) // 10 AS INTEGER) AS batch_id
+      FROM calendar) GROUP BY batch_id""",
+    ),
+    "for_day": _with(
+        FCT_GAME_RESULTS,
+        "SELECT * FROM fct_game_results WHERE game_date = (SELECT max(game_date) FROM fct_game_results)",
+    ),
+    "sheet_ingest": _with(PAYROLL, "SELECT * FROM payroll"),
+    "salary_cap": _with(
+        PAYROLL,
+        """SELECT team_abbr, team_name, total_salary,
+       136000000.0::DOUBLE - total_salary AS cap_space,
+       round(greatest(0.0::DOUBLE, total_salary - 165000000.0::DOUBLE) * 1.5, 2) AS luxury_tax_bill,
+       num_players,
+       round(total_salary / num_players, 2) AS avg_salary,
+       CASE WHEN 136000000.0::DOUBLE - total_salary < 0 THEN 'Over Cap' ELSE 'Under Cap' END AS cap_status
+FROM payroll""",
+    ),
+    "watchlist_alerts": _with(WATCHLIST, "SELECT * FROM alerts"),
+    "watchlist_summary": _with(
+        WATCHLIST,
+        """SELECT (SELECT max(game_date) FROM fct_player_performance) AS report_date,
+       count(*) AS total_alerts,
+       count(*) FILTER (WHERE severity = 'high') AS high_severity_count
+FROM alerts""",
+    ),
+    "league_summary": _with(
+        RPT_TEAM_STANDINGS + "," + FCT_PLAYER_PERFORMANCE,
+        """, day AS (SELECT max(game_date) AS d FROM fct_game_results),
+g AS (SELECT * FROM fct_game_results WHERE game_date = (SELECT d FROM day)),
+p AS (SELECT * FROM fct_player_performance WHERE game_date = (SELECT d FROM day))
+SELECT (SELECT d FROM day) AS report_date,
+       (SELECT count(*) FROM g) AS games_played_yesterday,
+       (SELECT round(sum(home_score + away_score) / (2 * count(*)), 1) FROM g) AS avg_score,
+       (SELECT player_id FROM p ORDER BY points DESC, player_id DESC LIMIT 1) AS highest_scorer,
+       (SELECT max(points) FROM p) AS highest_score,
+       (SELECT count(*) FROM g
+          JOIN dim_teams w ON g.winner = w.team_abbreviation
+          JOIN dim_teams l ON g.loser = l.team_abbreviation
+        WHERE w.win_pct < l.win_pct) AS upsets,
+       (SELECT CAST(sum(three_pointers_made) AS BIGINT) FROM p) AS total_three_pointers,
+       (SELECT min(margin_of_victory) FROM g) AS closest_game_margin,
+       (SELECT count(*) FILTER (WHERE contains(game_status, 'OT')) FROM g) AS overtime_games,
+       (SELECT count(*) FROM rpt_team_standings) AS total_teams""",
+    ),
+})
