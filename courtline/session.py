@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +77,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return os.path.join(root, "courtline-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, conf: dict[str, str]):
+    """Set SQL confs for the duration of a block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtline.session import scoped_conf
+
 PARTITION_COL = "partition_date"
 # Bound on rows per output file, so a hot day is written as several files
 # by the tasks that hold its rows instead of being funnelled into one task.
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# AQE sizes rebalanced write partitions as min(advisory size, max(this floor,
+# total / parallelism)). Lowering the floor keeps a small load spread over all
+# cores (each day folder costs a file open); large loads are sized by the
+# advisory size as before.
+SMALL_WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+
 LOAD_LOG_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -64,13 +72,25 @@ def write_partitions(
         clear_partitions(df.sparkSession, table_path, [d for d in days if d not in present], col)
     out = df.observe(observation, F.count(F.lit(1)).alias("rows"),
                      F.min(col).alias("first"), F.max(col).alias("last")) if observation else df
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(col)
-        .parquet(table_path)
-    )
+    with scoped_conf(df.sparkSession, SMALL_WRITE_CONF):
+        (
+            clustered_by_day(out, col)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .partitionBy(col)
+            .parquet(table_path)
+        )
+
+
+def clustered_by_day(df: DataFrame, col: str = PARTITION_COL) -> DataFrame:
+    """Cluster rows by day before a partitioned write (REBALANCE hint).
+
+    Without it every task writes a file into every day it holds rows of
+    (tasks x days small files). REBALANCE shuffles by the day, and AQE then
+    coalesces small days into one task and splits a hot day over several,
+    so files stay few and near the advisory size."""
+    return df.hint("rebalance", col)
 
 
 def replace_table(df: DataFrame, path: str) -> None:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.functions.json import RESPONSE_DDL, parse_json
+from courtline.session import scoped_conf
+from courtline.sinks.tables import SMALL_WRITE_CONF
 
 RAW_SCHEMA = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("partition_date", T.DateType())]
@@ -60,14 +62,16 @@ def write_responses(
         "_page", F.pmod(F.xxhash64("data"), pages)
     )
     body = F.concat(F.lit('{"data":['), F.array_join(F.collect_list("data"), ","), F.lit("]}"))
-    (
-        paged.groupBy("partition_date", "_page")
-        .agg(body.alias("value"))
-        .select("partition_date", "value")
-        .write.mode(mode)
-        .partitionBy("partition_date")
-        .text(path)
-    )
+    with scoped_conf(raw.sparkSession, SMALL_WRITE_CONF):
+        (
+            paged.groupBy("partition_date", "_page")
+            .agg(body.alias("value"))
+            .select("partition_date", "value")
+            .hint("rebalance", "partition_date")
+            .write.mode(mode)
+            .partitionBy("partition_date")
+            .text(path)
+        )
 
 
 def responses_to_raw(lines: DataFrame) -> DataFrame:
