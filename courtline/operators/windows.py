@@ -3,7 +3,8 @@
 ``global_rank`` replaces ``row_number() over (order by ...)``, which Spark runs
 as one task behind an ``Exchange SinglePartition``. At scale it range-partitions
 on the sort key instead, numbers rows inside each partition, and adds the
-running total of the partition sizes (a table with one row per partition).
+running total of the partition sizes (one number per partition, the way
+``RDD.zipWithIndex`` numbers rows).
 """
 
 from __future__ import annotations
@@ -89,10 +90,15 @@ def _ranged_rank(df: DataFrame, order: Sequence[Column], rank_col: str, parts: i
         .checkpoint(eager=True)  # fixes partition ids for counting and ranking
     )
     pid = F.shiftright("_rid", 33)
-    sizes = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a proven bound, so the offsets are broadcast
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    ranked = tagged.join(F.broadcast(offsets), pid == F.col("_pid"))
+    # One count per range partition (bounded by `parts`, not by the data):
+    # the running offsets are computed from that short list, as
+    # RDD.zipWithIndex does, and broadcast back.
+    sizes = sorted(tuple(r) for r in tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for part_id, n in sizes:
+        offsets.append((part_id, running))
+        running += n
+    off = df.sparkSession.createDataFrame(offsets, "_pid long, _off long")
+    ranked = tagged.join(F.broadcast(off), pid == F.col("_pid"))
     rank = F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_LOW_BITS)) + 1
     return ranked.withColumn(rank_col, rank.cast("long")).drop("_rid", "_pid", "_off")

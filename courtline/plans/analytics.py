@@ -3,7 +3,7 @@ alerts, salary cap sheet."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import round_half_away
@@ -28,7 +28,6 @@ def latest_day(df: DataFrame, date_col: str) -> Column:
 
 
 def league_summary(
-    spark: SparkSession,
     games: DataFrame,
     players: DataFrame,
     teams: DataFrame,
@@ -39,31 +38,40 @@ def league_summary(
     three-pointers, closest margin, overtime games, and the number of teams
     in the standings.
 
-    Every field is a scalar subquery over a filtered, partially aggregated
-    input, so nothing but single values reaches the final one-row select."""
-    g = games.where(F.col("game_date") == day)
-    p = players.where(F.col("game_date") == day)
-    tw = teams.select(F.col("team_abbreviation").alias("w_team"), F.col("win_pct").alias("w_pct"))
-    tl = teams.select(F.col("team_abbreviation").alias("l_team"), F.col("win_pct").alias("l_pct"))
-    upsets = (
-        g.join(tw, g.winner == tw.w_team)
-        .join(tl, g.loser == tl.l_team)
-        .where(F.col("w_pct") < F.col("l_pct"))
-    )
-    score_sum = F.sum(F.col("home_score") + F.col("away_score"))
-    top = F.max(F.struct(F.col("points"), F.col("player_id")))
-    return spark.range(1).select(
-        day.alias("report_date"),
-        g.agg(F.count(F.lit(1))).scalar().alias("games_played_yesterday"),
-        round_half_away(g.agg(score_sum / (2 * F.count(F.lit(1)))).scalar(), 1).alias("avg_score"),
-        p.agg(top.getField("player_id")).scalar().alias("highest_scorer"),
-        p.agg(F.max("points")).scalar().alias("highest_score"),
-        upsets.agg(F.count(F.lit(1))).scalar().alias("upsets"),
-        p.agg(F.sum("three_pointers_made").cast("long")).scalar().alias("total_three_pointers"),
-        g.agg(F.min("margin_of_victory")).scalar().alias("closest_game_margin"),
-        g.agg(F.count_if(F.col("game_status").contains("OT"))).scalar().alias("overtime_games"),
-        standings.agg(F.count(F.lit(1))).scalar().alias("total_teams"),
-    )
+    Each input is reduced once to a one-row aggregate (the day filter reaches
+    the scans); the rows are stacked by ``unionByName`` and folded into one
+    row, so no join and no per-field pass over the data is needed."""
+    c = F.col
+    g = games.where(c("game_date") == day)
+    p = players.where(c("game_date") == day)
+    tw = teams.select(c("team_abbreviation").alias("w_team"), c("win_pct").alias("w_pct"))
+    tl = teams.select(c("team_abbreviation").alias("l_team"), c("win_pct").alias("l_pct"))
+    upsets = g.join(tw, g.winner == tw.w_team).join(tl, g.loser == tl.l_team).where(c("w_pct") < c("l_pct"))
+    n_games = F.count(F.lit(1))
+    parts = [
+        g.agg(
+            n_games.alias("games_played_yesterday"),
+            round_half_away(F.sum(c("home_score") + c("away_score")) / (2 * n_games), 1).alias("avg_score"),
+            F.min("margin_of_victory").alias("closest_game_margin"),
+            F.count_if(c("game_status").contains("OT")).alias("overtime_games"),
+        ),
+        p.agg(
+            F.max(F.struct("points", "player_id")).getField("player_id").alias("highest_scorer"),
+            F.max("points").alias("highest_score"),
+            F.sum("three_pointers_made").cast("long").alias("total_three_pointers"),
+        ),
+        upsets.agg(F.count(F.lit(1)).alias("upsets")),
+        standings.agg(F.count(F.lit(1)).alias("total_teams")),
+    ]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    fields = [
+        "games_played_yesterday", "avg_score", "highest_scorer", "highest_score", "upsets",
+        "total_three_pointers", "closest_game_margin", "overtime_games", "total_teams",
+    ]
+    # each field is non-NULL in at most one stacked row
+    return stacked.agg(*[F.max(f).alias(f) for f in fields]).select(day.alias("report_date"), *fields)
 
 
 def player_form(perf: DataFrame) -> DataFrame:

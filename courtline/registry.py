@@ -155,7 +155,6 @@ def q_for_day(spark: SparkSession, root: str) -> DataFrame:
 def q_league_summary(spark: SparkSession, root: str) -> DataFrame:
     games = chain.fct_game_results(spark, root)
     return analytics.league_summary(
-        spark,
         games,
         chain.fct_player_performance(spark, root),
         chain.dim_teams(spark, root),

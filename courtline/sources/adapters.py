@@ -102,8 +102,9 @@ def player_stats_raw(spark: SparkSession, root: str) -> DataFrame:
 
 def team_stats_raw(spark: SparkSession, root: str) -> DataFrame:
     """Raw team season averages: one document per (event day, team) seen in events."""
-    e = read_fact(spark, root, "events", "ts", "user_id")
-    # distinct on two small columns: partial aggregation before the shuffle
+    e = read_table(spark, root, "events", "ts", "user_id")
+    # distinct on two small columns: the partial aggregate in each scan task
+    # already collapses the rows, so the scan is not spread first
     days = e.select(F.to_date("ts").alias("day"), (F.col("user_id") % N_TEAMS).alias("k")).distinct()
     j = lookup_join(days, _nation(spark, root, "t"), F.col("k") == F.col("t_key"))
     k = F.col("k")
