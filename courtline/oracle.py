@@ -308,6 +308,7 @@ ORACLE.update({
     "raw_scan": ORACLE["stg_games"],
     "land_response": ORACLE["stg_games"],
     "stream_landing": ORACLE["stg_games"],
+    "incremental_staging": ORACLE["stg_games"],
     "partition_replace": _with(
         STG_GAMES,
         "SELECT * FROM stg_games WHERE game_date <> (SELECT min(game_date) FROM stg_games)",

@@ -20,6 +20,7 @@ from courtline.operators.partitions import (
 )
 from courtline.operators.windows import global_rank, latest_per_key
 from courtline.plans import analytics, chain, landing, marts
+from courtline.plans.materialize import incremental_staging_job
 from courtline.sources.adapters import team_payroll
 from courtline.sources.tables import read_fact
 from courtline.streaming.landing import stream_landing_job
@@ -187,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "changed_files": landing.changed_files_job,
     "load_log": landing.load_log_job,
     "stream_landing": stream_landing_job,
+    "incremental_staging": incremental_staging_job,
     # partitions
     "partition_calendar": q_partition_calendar,
     "backfill_batches": q_backfill_batches,
