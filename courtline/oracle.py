@@ -429,3 +429,5 @@ SELECT (SELECT d FROM day) AS report_date,
        (SELECT count(*) FROM rpt_team_standings) AS total_teams""",
     ),
 })
+
+ORACLE["watchlist_document"] = ORACLE["watchlist_alerts"]

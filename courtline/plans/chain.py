@@ -49,3 +49,17 @@ def rpt_team_standings(spark: SparkSession, root: str) -> DataFrame:
 
 def rpt_player_rankings(spark: SparkSession, root: str) -> DataFrame:
     return reports.rpt_player_rankings(fct_player_performance(spark, root))
+
+
+MODELS = [
+    "stg_games", "stg_player_stats", "stg_team_stats",
+    "fct_game_results", "fct_player_performance", "dim_teams",
+    "rpt_team_standings", "rpt_player_rankings",
+]
+
+
+def publish_views(models: dict[str, DataFrame]) -> list[str]:
+    """Publish models as temp views under their names (replacing older ones)."""
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+    return list(models)

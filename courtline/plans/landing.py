@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from courtline.plans import chain, staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import append_load_log, replace_table, write_partitions
+from courtline.sinks.tables import append_load_log, replace_table, write_document, write_partitions
 from courtline.sources import files, raw
 from courtline.sources.adapters import team_payroll
 
@@ -37,11 +37,26 @@ def land_raw(spark: SparkSession, sf_root: str, out_root: str, table: str,
 
 
 def raw_scan_job(spark: SparkSession, sf_root: str) -> DataFrame:
-    """Land raw games, register the raw views, build stg_games on the view."""
+    """Land raw games, register the raw views, build stg_games on the view,
+    publish it as a view and read the view."""
     out = scratch_path(spark, "raw")
     land_raw(spark, sf_root, out, "games")
     raw.register_raw(spark, out, tables=("games",))
-    return staging.stg_games(spark.table("raw_games"))
+    chain.publish_views({"stg_games": staging.stg_games(spark.table("raw_games"))})
+    return spark.table("stg_games")
+
+
+def watchlist_document_job(spark: SparkSession, sf_root: str) -> DataFrame:
+    """Write the watchlist document (head + alert items as JSON lines) and
+    read the items back with the alerts' schema."""
+    from courtline.plans import analytics
+
+    perf = chain.fct_player_performance(spark, sf_root)
+    day = analytics.latest_day(perf, "game_date")
+    alerts = analytics.watchlist_alerts(perf, day)
+    out = scratch_path(spark, "document")
+    write_document(analytics.watchlist_summary(alerts, day), out, items=alerts)
+    return spark.read.schema(alerts.schema).json(os.path.join(out, "items"))
 
 
 def partition_replace_job(spark: SparkSession, sf_root: str) -> DataFrame:

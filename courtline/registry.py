@@ -189,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "load_log": landing.load_log_job,
     "stream_landing": stream_landing_job,
     "incremental_staging": incremental_staging_job,
+    "watchlist_document": landing.watchlist_document_job,
     # partitions
     "partition_calendar": q_partition_calendar,
     "backfill_batches": q_backfill_batches,
