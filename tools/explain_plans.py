@@ -24,9 +24,10 @@ KEYS = [
 ]
 MARKERS = [
     "Arguments: hashpartitioning", "Arguments: rangepartitioning", "Arguments: SinglePartition",
-    "Arguments: RoundRobinPartitioning", "BroadcastExchange (", "BroadcastHashJoin (",
-    "SortMergeJoin (", "WindowGroupLimit (", "HashAggregate (",
+    "Arguments: RoundRobinPartitioning",
 ]
+NODES = ["BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "WindowGroupLimit",
+         "HashAggregate", "Window", "Generate", "Scan parquet"]
 
 
 def digest(plan: str) -> list[str]:
@@ -36,6 +37,11 @@ def digest(plan: str) -> list[str]:
         n = body.count(m)
         if n:
             out.append(f"{m.replace('Arguments: ', 'Exchange ').rstrip(' (')}: {n}")
+    heads = re.findall(r"^\(\d+\) ([A-Za-z ]+?)\s*$", body, flags=re.M)
+    for node in NODES:
+        n = sum(1 for h in heads if h.strip() == node)
+        if n:
+            out.append(f"{node}: {n}")
     pushed = sorted(set(re.findall(r"PushedFilters: (\[[^\]]*\])", plan)) - {"[]"})
     out += [f"PushedFilters: {p}" for p in pushed]
     parts = sorted(set(re.findall(r"PartitionFilters: (\[[^\]]*\])", plan)) - {"[]"})
