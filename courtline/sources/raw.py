@@ -53,13 +53,14 @@ def write_responses(
     at most about ``page_rows`` documents per line, in ``partition_date=``
     folders.
 
-    Pages are formed per day by hashing each document into
+    Pages are formed per day by dealing documents at random (seeded) into
     ``ceil(rows_of_day / page_rows)`` buckets, so no page (and no task
-    building one) grows with the size of a day."""
+    building one) grows with the size of a day, even when many documents
+    are identical (a content hash would put all copies in one page)."""
     per_day = raw.groupBy("partition_date").agg(F.count(F.lit(1)).alias("_n"))
     pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / page_rows))
     paged = raw.join(per_day, "partition_date").withColumn(
-        "_page", F.pmod(F.xxhash64("data"), pages)
+        "_page", F.floor(F.rand(seed=17) * pages)
     )
     body = F.concat(F.lit('{"data":['), F.array_join(F.collect_list("data"), ","), F.lit("]}"))
     with scoped_conf(raw.sparkSession, SMALL_WRITE_CONF):

@@ -141,3 +141,12 @@ def test_calendar_and_batches(spark):
     assert len(rows) == 25 and rows[dt.date(2024, 1, 1)] == 2 and rows[dt.date(2024, 1, 2)] == 0
     batches = sorted(batch_summary(backfill_batches(cal)).collect())
     assert [(b.batch_id, b.n_days, b.rows) for b in batches] == [(0, 10, 3), (1, 10, 0), (2, 5, 1)]
+
+
+def test_identical_documents_do_not_share_one_page(spark, tmp_dir):
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([('{"id":1}', day)] * 400, raw.RAW_SCHEMA)
+    out = os.path.join(tmp_dir, "resp")
+    raw.write_responses(df, out, page_rows=40)
+    sizes = [r[0] for r in spark.read.text(out).select(F.size(F.split("value", '\\{"id"')) - 1).collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 80 and len(sizes) >= 5
