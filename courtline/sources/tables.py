@@ -28,7 +28,9 @@ def spread(df: DataFrame) -> DataFrame:
     over ``defaultParallelism`` partitions. On large inputs (many files or
     row groups) the scan already has more partitions than cores and nothing
     is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        scan_parts = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access: leave the scan as it is
+        return df
+    return df.repartition(cores) if scan_parts < cores else df
