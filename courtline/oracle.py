@@ -431,3 +431,4 @@ SELECT (SELECT d FROM day) AS report_date,
 })
 
 ORACLE["watchlist_document"] = ORACLE["watchlist_alerts"]
+ORACLE["backfill_runs"] = ORACLE["dim_teams"]

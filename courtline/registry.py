@@ -20,6 +20,7 @@ from courtline.operators.partitions import (
 )
 from courtline.operators.windows import global_rank, latest_per_key
 from courtline.plans import analytics, chain, landing, marts
+from courtline.plans.backfill import backfill_job
 from courtline.plans.materialize import incremental_staging_job
 from courtline.sources.adapters import team_payroll
 from courtline.sources.tables import read_fact
@@ -189,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "load_log": landing.load_log_job,
     "stream_landing": stream_landing_job,
     "incremental_staging": incremental_staging_job,
+    "backfill_runs": backfill_job,
     "watchlist_document": landing.watchlist_document_job,
     # partitions
     "partition_calendar": q_partition_calendar,

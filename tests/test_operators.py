@@ -150,3 +150,16 @@ def test_identical_documents_do_not_share_one_page(spark, tmp_dir):
     raw.write_responses(df, out, page_rows=40)
     sizes = [r[0] for r in spark.read.text(out).select(F.size(F.split("value", '\\{"id"')) - 1).collect()]
     assert sum(sizes) == 400 and max(sizes) <= 80 and len(sizes) >= 5
+
+
+def test_backfill_runs_of_ten_days(spark, tmp_dir):
+    from courtline.plans.backfill import backfill, plan_runs
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(23) if i != 5]
+    df = _raw_rows(spark, days)
+    runs = plan_runs(df, batch_days=10)
+    assert [len(r) for r in runs] == [10, 10, 3]
+    path, log = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "log")
+    assert backfill(spark, df, path, batch_days=10, log_path=log, table_name="t") == 3
+    assert raw.raw_scan(spark, path).count() == 22
+    assert sorted(r.record_count for r in spark.read.parquet(log).collect()) == [3, 9, 10]
