@@ -128,7 +128,7 @@ def test_missing_key_and_json_null_are_null(spark):
     assert row.season is None and row.game_status is None and row.home_score == 100
 
 
-@pytest.mark.parametrize("bad", ["{not json", "", "   "])
+@pytest.mark.parametrize("bad", ["{not json", "", "   ", "[1, 2]", '{"id": 1'])
 def test_malformed_or_empty_json_raises(spark, bad):
     with pytest.raises(Exception):
         staging.stg_games(raw_df(spark, [(bad, D1)])).collect()
