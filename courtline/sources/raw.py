@@ -51,7 +51,8 @@ def write_responses(
 ) -> None:
     """Write raw rows as landed API responses: JSON lines ``{"data": [...]}``,
     at most about ``page_rows`` documents per line, in ``partition_date=``
-    folders.
+    folders. With ``mode="overwrite"`` only the days written are replaced
+    (a re-fetch of a day replaces that day's responses).
 
     Pages are formed per day by dealing documents at random (seeded) into
     ``ceil(rows_of_day / page_rows)`` buckets, so no page (and no task
@@ -70,6 +71,7 @@ def write_responses(
             .select("partition_date", "value")
             .hint("rebalance", "partition_date")
             .write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy("partition_date")
             .text(path)
         )

@@ -6,8 +6,11 @@ batch's responses and replaces the batch's days in the raw table, so a
 re-fetched day (new files for the same day) replaces that day, and a restart
 after a failure re-runs the uncommitted batch idempotently.
 
-A day's response files must be committed together (one write job), which is
-how ``write_responses`` produces them.
+A micro-batch may hold only some of a day's response files (e.g. under
+``maxFilesPerTrigger``), so a batch does not land its own rows: it takes the
+list of days it touched and re-reads those days' complete response folders
+(a partition-pruned batch read) before replacing the days. A re-fetched day
+is written by ``write_responses`` as a replacement of that day's folder.
 """
 
 from __future__ import annotations
@@ -29,18 +32,27 @@ RESPONSE_FILE_SCHEMA = T.StructType(
 
 
 def start_landing(
-    spark: SparkSession, responses_dir: str, table_path: str, checkpoint: str, available_now: bool = True
+    spark: SparkSession,
+    responses_dir: str,
+    table_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the landing stream; returns the StreamingQuery."""
     # partition_date is discovered from the partition_date=<day> folders
-    stream = (
-        spark.readStream.format("text")
-        .schema(RESPONSE_FILE_SCHEMA)
-        .load(responses_dir)
-    )
+    reader = spark.readStream.format("text").schema(RESPONSE_FILE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(responses_dir)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        write_partitions(raw.responses_to_raw(batch), table_path)
+        # one entry per touched day (bounded by the calendar)
+        days = [r[0] for r in batch.select("partition_date").distinct().collect()]
+        if not days:
+            return
+        current = raw.land_response(spark, responses_dir).where(F.col("partition_date").isin(days))
+        write_partitions(current, table_path, days=days)
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -58,7 +70,7 @@ def stream_landing_job(spark: SparkSession, sf_root: str) -> DataFrame:
     games = chain.raw(spark, sf_root, "games")
     parity = F.pmod(F.unix_date("partition_date"), F.lit(2))
     for part in (0, 1):
-        raw.write_responses(games.where(parity == part), responses, mode="append")
+        raw.write_responses(games.where(parity == part), responses)
         q = start_landing(spark, responses, table, ckpt)
         q.awaitTermination()
     return staging.stg_games(raw.raw_scan(spark, table))

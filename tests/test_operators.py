@@ -163,3 +163,21 @@ def test_backfill_runs_of_ten_days(spark, tmp_dir):
     assert backfill(spark, df, path, batch_days=10, log_path=log, table_name="t") == 3
     assert raw.raw_scan(spark, path).count() == 22
     assert sorted(r.record_count for r in spark.read.parquet(log).collect()) == [3, 9, 10]
+
+
+def test_stream_landing_with_split_batches(spark, tmp_dir):
+    """Batches of one file each still land every day completely."""
+    from courtline.streaming.landing import start_landing
+
+    days = [dt.date(2024, 1, 1 + i % 3) for i in range(300)]
+    df = _raw_rows(spark, days)
+    responses, table, ckpt = (os.path.join(tmp_dir, n) for n in ("resp", "table", "ckpt"))
+    raw.write_responses(df, responses, page_rows=40)
+    start_landing(spark, responses, table, ckpt, max_files_per_trigger=1).awaitTermination()
+    got = raw.raw_scan(spark, table)
+    assert sorted(got.collect()) == sorted(df.select("partition_date", "data").collect())
+    # a re-fetch of one day replaces only that day
+    raw.write_responses(_raw_rows(spark, [dt.date(2024, 1, 2)] * 5), responses)
+    start_landing(spark, responses, table, ckpt, max_files_per_trigger=1).awaitTermination()
+    counts = {r.partition_date: r["count"] for r in raw.raw_scan(spark, table).groupBy("partition_date").count().collect()}
+    assert counts == {dt.date(2024, 1, 1): 100, dt.date(2024, 1, 2): 5, dt.date(2024, 1, 3): 100}
