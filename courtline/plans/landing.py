@@ -74,7 +74,7 @@ def partition_replace_job(spark: SparkSession, sf_root: str) -> DataFrame:
 def land_response_job(spark: SparkSession, sf_root: str) -> DataFrame:
     """Write raw games as paged API responses, land them, stage them."""
     out = scratch_path(spark, "responses")
-    raw.write_responses(chain.raw(spark, sf_root, "games"), out)
+    raw.write_responses(chain.raw(spark, sf_root, "games"), out, replace_days=False)
     return staging.stg_games(raw.land_response(spark, out))
 
 

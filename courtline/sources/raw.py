@@ -47,12 +47,18 @@ def register_raw(spark: SparkSession, root: str, tables=RAW_TABLES, prefix: str
 
 
 def write_responses(
-    raw: DataFrame, path: str, page_rows: int = RESPONSE_PAGE_ROWS, mode: str = "overwrite"
+    raw: DataFrame,
+    path: str,
+    page_rows: int = RESPONSE_PAGE_ROWS,
+    mode: str = "overwrite",
+    replace_days: bool = True,
 ) -> None:
     """Write raw rows as landed API responses: JSON lines ``{"data": [...]}``,
     at most about ``page_rows`` documents per line, in ``partition_date=``
-    folders. With ``mode="overwrite"`` only the days written are replaced
-    (a re-fetch of a day replaces that day's responses).
+    folders. With ``mode="overwrite"`` and ``replace_days`` only the days
+    written are replaced (a re-fetch of a day replaces that day's responses);
+    ``replace_days=False`` is a plain write (a new folder, or disjoint days
+    appended), which saves the per-day folder moves at commit.
 
     Pages are formed per day by dealing documents at random (seeded) into
     ``ceil(rows_of_day / page_rows)`` buckets, so no page (and no task
@@ -71,7 +77,7 @@ def write_responses(
             .select("partition_date", "value")
             .hint("rebalance", "partition_date")
             .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", "dynamic" if replace_days else "static")
             .partitionBy("partition_date")
             .text(path)
         )
