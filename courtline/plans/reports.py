@@ -42,7 +42,8 @@ def team_game_counts(game_results: DataFrame) -> DataFrame:
     )
 
 
-def rpt_team_standings(teams: DataFrame, game_results: DataFrame) -> DataFrame:
+def standings_base(teams: DataFrame, game_results: DataFrame) -> DataFrame:
+    """Standings rows before ranking: one row per team of the dimension."""
     c = F.col
     counts = team_game_counts(game_results)
     # Both sides are one row per team; AQE broadcasts the smaller at run time
@@ -56,6 +57,11 @@ def rpt_team_standings(teams: DataFrame, game_results: DataFrame) -> DataFrame:
         F.coalesce(c("home_wins"), F.lit(0).cast("long")).alias("home_wins"),
         F.coalesce(c("wins_in_data"), F.lit(0).cast("long")).alias("total_wins_in_data"),
     )
+    return base
+
+
+def rpt_team_standings(teams: DataFrame, game_results: DataFrame) -> DataFrame:
+    base = standings_base(teams, game_results)
     ranked = global_ranks(base, {"overall_rank": _order("win_pct", TEAM_TIEBREAK)})
     return ranked.orderBy("overall_rank")
 

@@ -19,7 +19,7 @@ from courtline.operators.partitions import (
     partition_calendar,
 )
 from courtline.operators.windows import global_rank, latest_per_key
-from courtline.plans import analytics, chain, landing, marts
+from courtline.plans import analytics, chain, landing, marts, reports
 from courtline.plans.backfill import backfill_job
 from courtline.plans.materialize import incremental_staging_job
 from courtline.sources.adapters import team_payroll
@@ -156,11 +156,13 @@ def q_for_day(spark: SparkSession, root: str) -> DataFrame:
 
 def q_league_summary(spark: SparkSession, root: str) -> DataFrame:
     games = chain.fct_game_results(spark, root)
+    teams = chain.dim_teams(spark, root)
     return analytics.league_summary(
         games,
         chain.fct_player_performance(spark, root),
-        chain.dim_teams(spark, root),
-        chain.rpt_team_standings(spark, root),
+        teams,
+        # the summary counts standings rows; ranking and ordering do not change them
+        reports.standings_base(teams, games),
         analytics.latest_day(games, "game_date"),
     )
 

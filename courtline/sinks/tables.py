@@ -72,11 +72,15 @@ def write_partitions(
         clear_partitions(df.sparkSession, table_path, [d for d in days if d not in present], col)
     out = df.observe(observation, F.count(F.lit(1)).alias("rows"),
                      F.min(col).alias("first"), F.max(col).alias("last")) if observation else df
+    # Into a table that does not exist yet, a plain write gives the same result
+    # and skips moving every day folder into place at job commit.
+    p, fs = _hadoop_path(df.sparkSession, table_path)
+    overwrite_mode = "dynamic" if fs.exists(p) else "static"
     with scoped_conf(df.sparkSession, SMALL_WRITE_CONF):
         (
             clustered_by_day(out, col)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", overwrite_mode)
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
             .partitionBy(col)
             .parquet(table_path)
