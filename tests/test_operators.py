@@ -181,3 +181,19 @@ def test_stream_landing_with_split_batches(spark, tmp_dir):
     start_landing(spark, responses, table, ckpt, max_files_per_trigger=1).awaitTermination()
     counts = {r.partition_date: r["count"] for r in raw.raw_scan(spark, table).groupBy("partition_date").count().collect()}
     assert counts == {dt.date(2024, 1, 1): 100, dt.date(2024, 1, 2): 5, dt.date(2024, 1, 3): 100}
+
+
+def test_cli_land_and_stage_team_stats(spark, tmp_dir):
+    from courtline.__main__ import parser, run
+    from courtline.plans import marts
+    from courtline.plans.materialize import read_staging
+    from tests.conftest import SF_SMALL
+
+    raw_root, stg = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "stg")
+    run(spark, parser().parse_args(["land", "--sf-dir", SF_SMALL, "--raw-root", raw_root, "--table", "team_stats"]))
+    run(spark, parser().parse_args(["stage", "--raw-root", raw_root, "--staging-root", stg, "--table", "team_stats"]))
+    from courtline.plans import chain
+    expected = chain.dim_teams(spark, SF_SMALL).collect()
+    assert sorted(marts.dim_teams(read_staging(spark, stg, "team_stats")).collect()) == sorted(expected)
+    # staging again finds nothing pending
+    run(spark, parser().parse_args(["stage", "--raw-root", raw_root, "--staging-root", stg, "--table", "team_stats"]))
