@@ -17,15 +17,21 @@ from courtline.operators.partitions import DEFAULT_BATCH_DAYS, backfill_batches,
 from courtline.plans import chain, marts
 from courtline.plans.materialize import build_staging, read_staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import append_load_log, write_partitions
+from courtline.sinks.tables import append_load_log, clear_partitions, write_partitions
 
 
 def plan_runs(source: DataFrame, batch_days: int = DEFAULT_BATCH_DAYS) -> list[list]:
     """The days of ``source`` split into runs of at most ``batch_days``
     calendar days (one list entry per day of the calendar)."""
+    return [[d for d, _ in run] for run in _runs_with_rows(source, batch_days)]
+
+
+def _runs_with_rows(source: DataFrame, batch_days: int) -> list[list[tuple]]:
     cal = backfill_batches(partition_calendar(source, "partition_date"), batch_days=batch_days)
-    runs = cal.groupBy("batch_id").agg(F.sort_array(F.collect_list("day")).alias("days"))
-    return [r.days for r in runs.orderBy("batch_id").collect()]
+    runs = cal.groupBy("batch_id").agg(
+        F.sort_array(F.collect_list(F.struct("day", "rows"))).alias("days")
+    )
+    return [[(x.day, x.rows) for x in r.days] for r in runs.orderBy("batch_id").collect()]
 
 
 def backfill(
@@ -39,10 +45,14 @@ def backfill(
     """Land ``source`` into ``table_path`` run by run; returns the number of
     runs. Every calendar day of a run is replaced, so a day without rows in
     the source is cleared."""
-    runs = plan_runs(source, batch_days)
-    for i, days in enumerate(runs):
+    runs = _runs_with_rows(source, batch_days)
+    for i, run in enumerate(runs):
+        days = [d for d, _ in run]
+        # the calendar already counted each day's rows: clear the empty days,
+        # replace the others with this run's rows
+        clear_partitions(spark, table_path, [d.isoformat() for d, n in run if n == 0])
         obs = Observation(f"{table_name}_run_{i}")
-        write_partitions(source.where(F.col("partition_date").isin(days)), table_path, days=days,
+        write_partitions(source.where(F.col("partition_date").isin(days)), table_path,
                          observation=obs if log_path else None)
         if log_path:
             append_load_log(spark, log_path, table_name, table_path, obs)
