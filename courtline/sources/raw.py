@@ -54,21 +54,19 @@ def write_responses(
     replace_days: bool = True,
 ) -> None:
     """Write raw rows as landed API responses: JSON lines ``{"data": [...]}``,
-    at most about ``page_rows`` documents per line, in ``partition_date=``
+    at most ``page_rows`` documents per line, in ``partition_date=``
     folders. With ``mode="overwrite"`` and ``replace_days`` only the days
     written are replaced (a re-fetch of a day replaces that day's responses);
     ``replace_days=False`` is a plain write (a new folder, or disjoint days
     appended), which saves the per-day folder moves at commit.
 
-    Pages are formed per day by dealing documents at random (seeded) into
-    ``ceil(rows_of_day / page_rows)`` buckets, so no page (and no task
-    building one) grows with the size of a day, even when many documents
-    are identical (a content hash would put all copies in one page)."""
-    per_day = raw.groupBy("partition_date").agg(F.count(F.lit(1)).alias("_n"))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / page_rows))
-    paged = raw.join(per_day, "partition_date").withColumn(
-        "_page", F.floor(F.rand(seed=17) * pages)
-    )
+    Pages are consecutive runs of ``page_rows`` rows inside a task after a
+    REBALANCE by day (AQE splits a hot day over several tasks) and a sort by
+    (day, document): a page never exceeds ``page_rows`` documents, even when
+    many documents are identical, and the page of every row is fixed by the
+    content of its task, so a retried task rebuilds the same pages."""
+    ordered = raw.hint("rebalance", "partition_date").sortWithinPartitions("partition_date", "data")
+    paged = ordered.withColumn("_page", F.floor(F.monotonically_increasing_id() / page_rows))
     body = F.concat(F.lit('{"data":['), F.array_join(F.collect_list("data"), ","), F.lit("]}"))
     with scoped_conf(raw.sparkSession, SMALL_WRITE_CONF):
         (

@@ -100,7 +100,7 @@ def test_write_responses_round_trip(spark, tmp_dir):
     back = raw.land_response(spark, out)
     assert sorted(back.collect()) == sorted(df.select("partition_date", "data").collect())
     longest = spark.read.text(out).select(F.max(F.size(F.split("value", '\\{"id"')))).first()[0]
-    assert longest - 1 <= 80  # pages stay near page_rows
+    assert longest - 1 <= 40  # no page exceeds page_rows
 
 
 def test_read_sheet_missing_raises(spark, tmp_dir):
@@ -149,7 +149,7 @@ def test_identical_documents_do_not_share_one_page(spark, tmp_dir):
     out = os.path.join(tmp_dir, "resp")
     raw.write_responses(df, out, page_rows=40)
     sizes = [r[0] for r in spark.read.text(out).select(F.size(F.split("value", '\\{"id"')) - 1).collect()]
-    assert sum(sizes) == 400 and max(sizes) <= 80 and len(sizes) >= 5
+    assert sum(sizes) == 400 and max(sizes) <= 40 and len(sizes) >= 10
 
 
 def test_backfill_runs_of_ten_days(spark, tmp_dir):
