@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.functions.json import RESPONSE_DDL, parse_json
+from courtline.operators.windows import latest_per_key
 from courtline.session import scoped_conf
 from courtline.sinks.tables import SMALL_WRITE_CONF
 
@@ -92,10 +93,31 @@ def responses_to_raw(lines: DataFrame) -> DataFrame:
     )
 
 
-def land_response(spark: SparkSession, path: str) -> DataFrame:
+def land_response(spark: SparkSession, path: str, latest_fetch_only: bool = True) -> DataFrame:
     """Landed response files -> raw rows ``(partition_date, data)``; the day
-    comes from the ``partition_date=`` folder names."""
-    return responses_to_raw(spark.read.text(path))
+    comes from the ``partition_date=`` folder names.
+
+    With ``latest_fetch_only``, a day holding files of several fetches keeps
+    only the newest fetch. A fetch is one write job (the job id in Spark's
+    output file names, else the file name); its time is its newest file's
+    modification time. The choice runs on a one-row-per-file table (latest
+    row per day), joined back to the lines by (day, fetch)."""
+    lines = spark.read.text(path)
+    if not latest_fetch_only:
+        return responses_to_raw(lines)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^part-\d+-([0-9a-f-]{36})", 1)
+    tagged = lines.select(
+        "value",
+        "partition_date",
+        F.when(name != "", name).otherwise(F.col("_metadata.file_name")).alias("_fetch"),
+        F.col("_metadata.file_modification_time").alias("_mtime"),
+    )
+    fetches = tagged.groupBy("partition_date", "_fetch").agg(F.max("_mtime").alias("_at"))
+    latest = latest_per_key(
+        fetches, ["partition_date"], [F.col("_at").desc(), F.col("_fetch").desc()]
+    ).select("partition_date", "_fetch")
+    kept = tagged.join(latest, ["partition_date", "_fetch"], "left_semi")
+    return responses_to_raw(kept.select("value", "partition_date"))
 
 
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -197,3 +197,18 @@ def test_cli_land_and_stage_team_stats(spark, tmp_dir):
     assert sorted(marts.dim_teams(read_staging(spark, stg, "team_stats")).collect()) == sorted(expected)
     # staging again finds nothing pending
     run(spark, parser().parse_args(["stage", "--raw-root", raw_root, "--staging-root", stg, "--table", "team_stats"]))
+
+
+def test_land_response_keeps_latest_fetch_per_day(spark, tmp_dir):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    out = os.path.join(tmp_dir, "resp")
+    first = spark.createDataFrame([('{"v":1}', d1), ('{"v":1}', d2)] + [(f'{{"p":{i}}}', d1) for i in range(90)],
+                                  raw.RAW_SCHEMA)
+    raw.write_responses(first, out, page_rows=30, replace_days=False)
+    time.sleep(1.1)
+    # a second fetch of day 1 lands next to the first one (append)
+    raw.write_responses(spark.createDataFrame([('{"v":2}', d1)], raw.RAW_SCHEMA), out, mode="append",
+                        replace_days=False)
+    rows = sorted((r.partition_date, r.data) for r in raw.land_response(spark, out).collect())
+    assert rows == [(d1, '{"v":2}'), (d2, '{"v":1}')]
+    assert raw.land_response(spark, out, latest_fetch_only=False).count() == 93
