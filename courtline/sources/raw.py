@@ -120,9 +120,25 @@ def land_response(spark: SparkSession, path: str, latest_fetch_only: bool = True
     return responses_to_raw(kept.select("value", "partition_date"))
 
 
+# Fixed sheet layouts (header names and types of the known sheets).
+SHEET_SCHEMAS = {
+    "salary_cap": (
+        "team_abbr STRING, team_name STRING, total_salary DOUBLE, cap_space DOUBLE, "
+        "luxury_tax_bill DOUBLE, num_players INT, avg_salary DOUBLE, cap_status STRING"
+    ),
+    "trade_targets": (
+        "player_name STRING, team_abbr STRING, position STRING, age INT, contract_value BIGINT, "
+        "years_remaining INT, trade_value_rating DOUBLE, scouting_notes STRING"
+    ),
+    "default": "id INT, name STRING, value INT",
+}
+
+
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A header-first table drop (CSV export of a sheet) with a declared
-    schema. A missing file raises (AnalysisException: PATH_NOT_FOUND)."""
+    schema (a ``SHEET_SCHEMAS`` name or a schema). A missing file raises
+    (AnalysisException: PATH_NOT_FOUND); a malformed row raises (FAILFAST)."""
+    schema = SHEET_SCHEMAS.get(schema, schema) if isinstance(schema, str) else schema
     return (
         spark.read.option("header", True)
         .option("mode", "FAILFAST")

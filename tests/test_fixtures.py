@@ -5,7 +5,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from courtline.plans import marts, reports, staging
 from courtline.sources.raw import RAW_SCHEMA

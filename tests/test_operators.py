@@ -212,3 +212,17 @@ def test_land_response_keeps_latest_fetch_per_day(spark, tmp_dir):
     rows = sorted((r.partition_date, r.data) for r in raw.land_response(spark, out).collect())
     assert rows == [(d1, '{"v":2}'), (d2, '{"v":1}')]
     assert raw.land_response(spark, out, latest_fetch_only=False).count() == 93
+
+
+def test_read_sheet_named_layouts(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "trade_targets.csv")
+    with open(p, "w") as f:
+        f.write("player_name,team_abbr,position,age,contract_value,years_remaining,trade_value_rating,scouting_notes\n")
+        f.write("A B,N1,SG,26,18500000,2,8.5,notes\n")
+    row = raw.read_sheet(spark, p, "trade_targets").first()
+    assert (row.age, row.contract_value, row.trade_value_rating) == (26, 18500000, 8.5)
+    bad = os.path.join(tmp_dir, "bad.csv")
+    with open(bad, "w") as f:
+        f.write("id,name,value\nx,item,3\n")
+    with pytest.raises(Exception):
+        raw.read_sheet(spark, bad, "default").collect()
