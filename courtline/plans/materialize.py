@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from courtline.plans import chain, staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import clear_partitions, write_partitions
+from courtline.sinks.tables import clear_partitions, path_exists, write_partitions
 from courtline.sources import raw
 
 STAGING_MODELS = {
@@ -29,10 +29,9 @@ STAGING_MODELS = {
 
 def staged_days(spark: SparkSession, table_path: str, date_col: str) -> DataFrame:
     """Distinct days present in a day-partitioned table (empty if none yet)."""
-    try:
-        return spark.read.parquet(table_path).select(F.col(date_col).alias("day")).distinct()
-    except Exception:  # AnalysisException: nothing stored yet
+    if not path_exists(spark, table_path):  # nothing staged yet
         return spark.createDataFrame([], "day date")
+    return spark.read.parquet(table_path).select(F.col(date_col).alias("day")).distinct()
 
 
 def pending_days(spark: SparkSession, raw_root: str, staging_root: str, table: str) -> list:

@@ -41,6 +41,11 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def clear_partitions(spark: SparkSession, table_path: str, days: Iterable, col: str = PARTITION_COL) -> None:
     """Delete the folders of ``days``: an empty replacement of a day.
 

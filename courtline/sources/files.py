@@ -54,7 +54,8 @@ def advance_cursor(cursor: DataFrame, changed: DataFrame) -> DataFrame:
 
 def read_cursor(spark: SparkSession, path: str) -> DataFrame:
     """The stored cursor table, or an empty one on the first run."""
-    try:
-        return spark.read.schema(CURSOR_SCHEMA).parquet(path)
-    except Exception:  # AnalysisException: no cursor stored yet
+    from courtline.sinks.tables import path_exists
+
+    if not path_exists(spark, path):  # first run: no cursor stored yet
         return spark.createDataFrame([], CURSOR_SCHEMA)
+    return spark.read.schema(CURSOR_SCHEMA).parquet(path)
