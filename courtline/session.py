@@ -25,6 +25,28 @@ DEFAULT_CONF = {
 }
 
 
+MIB = 1 << 20
+
+
+def scale_conf(input_bytes: int, cores: int, partition_mib: int = 256) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.
+
+    Scan splits of ``partition_mib`` (at least one wave per core); the first
+    shuffle of a stage starts with about one partition per split (at least
+    two per core) and AQE coalesces towards the same advisory size, so both
+    scan and shuffle partitions fit comfortably in executor memory and spill
+    stays rare."""
+    split = partition_mib * MIB
+    splits = max(1, -(-input_bytes // split))
+    initial = max(2 * cores, splits)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+    }
+
+
 def build_session(
     app: str = "courtline",
     master: str | None = None,

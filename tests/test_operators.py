@@ -226,3 +226,13 @@ def test_read_sheet_named_layouts(spark, tmp_dir):
         f.write("id,name,value\nx,item,3\n")
     with pytest.raises(Exception):
         raw.read_sheet(spark, bad, "default").collect()
+
+
+def test_scale_conf_sizes_partitions():
+    from courtline.session import scale_conf
+
+    big = scale_conf(100 * 1024**4, cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
+    small = scale_conf(10 * 1024**2, cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
