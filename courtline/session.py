@@ -52,17 +52,21 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    cores: int | None = None,
 ) -> SparkSession:
     """Build (or fetch) a session with courtline's defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to roughly input bytes / 128 MiB for the widest
-    shuffle (AQE coalesces the small ones).
+    On a cluster pass ``master=None`` and let spark-submit decide, and give
+    ``input_bytes`` and ``cores`` to size scan splits and shuffle partitions
+    (``scale_conf``); AQE coalesces the small shuffles.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes and cores:
+        conf.update(scale_conf(input_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
