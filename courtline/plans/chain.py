@@ -87,16 +87,3 @@ def report(name: str, models: dict[str, DataFrame]) -> DataFrame:
         return reports.rpt_player_rankings(models["fct_player_performance"])
     return models[name]
 
-
-def models_from_raw(spark: SparkSession, raw_root: str) -> dict[str, DataFrame]:
-    """Models over stored raw tables ``<raw_root>/<table>/partition_date=...``."""
-    from courtline.sources.raw import raw_scan
-
-    def stg(table, fn):
-        return fn(raw_scan(spark, f"{raw_root.rstrip('/')}/{table}"))
-
-    return models_over(
-        stg("games", staging.stg_games),
-        stg("player_stats", staging.stg_player_stats),
-        stg("team_stats", staging.stg_team_stats),
-    )
