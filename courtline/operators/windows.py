@@ -66,7 +66,8 @@ def global_ranks(
     counting and ranking see the same rows even if a stage is recomputed
     after an executor loss, and so the input is computed once. Inputs of at
     most ``single_task_rows`` rows take plain windows (their size is now
-    proven); larger ones take the ranged path, one pass per rank."""
+    proven); larger ones take the ranged path, one pass per rank, with at
+    least one range per core and about ``rows_per_range`` rows per range."""
     checkpoint_root(df.sparkSession)
     out = df.checkpoint(eager=True)
     n = out.count()
@@ -74,7 +75,10 @@ def global_ranks(
         for rank_col, order in ranks.items():
             out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
         return out
-    parts = max(1, math.ceil(n / rows_per_range))
+    # at least one range per core (the work spreads even when n is moderate),
+    # more when the data needs them
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, math.ceil(n / rows_per_range), min(cores, n))
     for rank_col, order in ranks.items():
         out = _ranged_rank(out, order, rank_col, parts)
     return out

@@ -132,7 +132,6 @@ def q_global_rank(spark: SparkSession, root: str) -> DataFrame:
         [F.col("total_points").desc_nulls_last(), F.col("game_id").asc_nulls_last()],
         "points_rank",
         single_task_rows=0,
-        rows_per_range=2_000,  # several ranges even on the small check tables
     )
 
 
