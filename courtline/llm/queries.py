@@ -13,8 +13,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import pack
+from .quality import quality_rules
 from .storage import importable, table
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -41,3 +43,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), capacity=4096, end_id=1)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules(docs).select("doc_id", *columns)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
