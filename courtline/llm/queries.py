@@ -11,7 +11,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .packing import pack
 from .quality import quality_rules
 from .storage import importable, table
@@ -55,3 +58,25 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the ids is the corpus seen before, the rest a new batch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    middle = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0]
+    old = F.coalesce(F.col("doc_id") <= F.lit(middle).cast("long"), F.lit(False))
+    return exact_dedup(docs.where(~old), docs.where(old))
+
+
+@query
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+ORACLE["op5_exact_dedup"] = """
+WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
+FROM d JOIN g USING (text_sha256)
+"""
