@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .html_extract import extract
+from .mixing import plan
+from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import quality_rules
 from .storage import importable, table
@@ -80,3 +82,15 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
 FROM d JOIN g USING (text_sha256)
 """
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = F.expr("aggregate(draws, 0L, (a, d) -> a + d.words)")
+    return plan(docs).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+@query
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
