@@ -11,6 +11,8 @@ from courtline.session import checkpoint_root
 
 #: All remaining pairs are tested at once when they are at most this many times the bucket rows.
 PAIRS_PER_ROW = 2
+#: Shared buckets (16 bytes each) that may be broadcast; beyond that the join is shuffled.
+BROADCAST_BUCKETS = 1_000_000
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -42,17 +44,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """The rows (bucket, node) whose bucket holds two nodes or more."""
+    shared = kept(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+    small = shared.count() <= BROADCAST_BUCKETS
+    return buckets.join(F.broadcast(shared) if small else shared.hint("shuffle_hash"), "bucket").select("bucket", "node")
+
+
 def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """node, component over all links among the nodes that share a bucket.
 
-    ``buckets`` has bucket and node (long, distinct rows); ``verify`` keeps
+    ``buckets`` has bucket and node (long, distinct rows, two or more of each
+    bucket, as ``shared_buckets`` gives them); ``verify`` keeps
     those of the pairs (a, b) that are linked.  In a round every bucket whose
     nodes are not yet one component tests one node, of its rarest component,
     against all its nodes of other components, which is linear in the rows.
     Once few pairs of different components remain, all of them are tested.
     A pair goes untested only if its nodes are already in one component."""
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n"))
-    rows = kept(buckets.join(sizes.where("n > 1"), "bucket").select("bucket", "node", F.col("node").alias("component")))
+    rows = buckets.withColumn("component", F.col("node"))
     edges: DataFrame | None = None
     while True:
         parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("node").alias("node"))

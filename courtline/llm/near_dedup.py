@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import linked_components
+from .components import linked_components, shared_buckets
 from .storage import stored
 
 BANDS, ROWS = 20, 5  # a pair of similarity 0.85 shares a band but for 1 in 100,000
@@ -119,8 +119,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
     classes = stored(classes, "near-classes").withColumn("node", F.monotonically_increasing_id())
     keyed = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    buckets = stored(keyed.join(shared, "bucket", "left_semi").distinct(), "near-buckets")
+    buckets = stored(shared_buckets(keyed), "near-buckets")  # a set's bands differ, so rows are distinct
     wanted = buckets.select("node").distinct().join(classes.select("node", "digest", "first_id", "n"), "node")
     texts = slim.join(wanted.withColumnRenamed("digest", "_digest"), F.col("id").eqNullSafe(F.col("first_id")))
     sets = texts.withColumn("s", full_set("text")).where("s.digest = _digest").select("node", F.col("n").cast("long").alias("n"), F.col("s.hashes").alias("hashes"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .html_extract import extract
+from .line_dedup import dedup_lines
 from .mixing import plan
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -94,3 +95,9 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "text")
