@@ -28,6 +28,7 @@ BANDS, ROWS = 20, 5  # a pair of similarity 0.85 shares a band but for 1 in 100,
 UNIVERSE_BITS = 22
 SEED = 29
 CACHE_WORDS = 300_000
+BROADCAST_GONE = 500_000  # dropped rows (16 bytes each) that may be broadcast
 RUN = 8192  # shingles whose runs are held at a time
 
 _hashes: dict[bytes, int] = {}
@@ -90,7 +91,7 @@ def similar(left: bytes, right: bytes, percent: int) -> bool:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: the id, text_hash, n_shingles, component_id, kept.
 
     Documents are linked if 100 * intersection >= percent * union of their
     shingle sets; component_id is the smallest id of the component and kept
@@ -115,7 +116,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         sets = [shingles(t, width).tobytes() for t in texts]
         return pd.DataFrame({"digest": [hashlib.blake2b(s, digest_size=16).digest() for s in sets], "hashes": sets})
 
-    described = stored(slim.withColumn("d", describe("text")).select("id", "d.*"), "near-described")
+    described = stored(slim.withColumn("d", describe("text")).select("id", F.xxhash64("text").alias("text_hash"), "d.*"), "near-described")
     classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
     classes = stored(classes, "near-classes").withColumn("node", F.monotonically_increasing_id())
     keyed = classes.select("node", F.explode("bands").alias("bucket"))
@@ -140,6 +141,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     rooted = classes.select("node", "digest", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = stored(rooted.select("digest", "root").join(least, "root").select("digest", "component_id"), "near-components")
-    result = described.select("id", "n_shingles", "digest").join(known, "digest", "left")
+    result = described.select("id", "text_hash", "n_shingles", "digest").join(known, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return result.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return result.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """``docs`` less the rows that ``near_duplicates`` does not keep, all columns as they are."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
+    gone = stored(found.where("not kept").select(F.col(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct(), "near-gone")
+    small = gone.count() <= BROADCAST_GONE
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(text_col) == F.col("_gone_hash"))
+    return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")

@@ -123,7 +123,8 @@ def cutoffs(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     pair = fences(finest, ["lang", "source"], "pair")
     lang = fences(wider, ["lang"], "lang").withColumnRenamed("lang", "l_lang")
     every = fences(widest, [], "all")
-    joined = pair.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(every), F.lit(True), "left")  # ``every`` is one row
+    joined = pair.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
+    joined = joined.withColumn("one", F.lit(1)).join(F.broadcast(every.withColumn("one", F.lit(1))), "one", "left")  # one row
     chosen = ["lang", "source"]
     for bound in [x for r, (_, lo, _hi) in RULES.items() for x in ([f"{r}_lo"] if lo is not None else []) + [f"{r}_hi"]]:
         chosen.append(F.expr(f"case when total_pair >= {min_docs} then {bound}_pair when total_lang >= {min_docs} then {bound}_lang when total_all >= {min_docs} then {bound}_all end").alias(bound))

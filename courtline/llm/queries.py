@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import TOOLS, format_chat, with_tools
 from .exact_dedup import exact_dedup
 from .html_extract import extract
 from .line_dedup import dedup_lines
@@ -94,10 +95,17 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "text")
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = format_chat(with_tools(table(spark, sf_dir, "conversations")), TOOLS)
+    return events.withColumn("problems", F.array_join("problems", "; "))
