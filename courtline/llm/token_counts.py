@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .words import CACHED_CHARS, chunks, length_cache, split_words, tokenizer
 
-#: Words in the broadcast table; with at most CACHED_CHARS characters each it stays under 16 MiB.
-TABLE_WORDS = 1 << 15
+#: Words in the broadcast table; with at most CACHED_CHARS characters each it stays under 20 MiB.
+TABLE_WORDS = 1 << 16
 SUMMARY_WORDS = 1 << 16  # words a summary counts at a time
 FAN_IN = 16
 SUMMARY_SCHEMA = "part int, words array<string>, counts array<bigint>"
