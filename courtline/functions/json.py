@@ -37,7 +37,7 @@ def parse_json(text: Column, ddl: str) -> Column:
     """Validating text -> JSON cast: malformed text raises (FAILFAST), and so
     does an empty or blank document, which from_json alone would map to NULL.
     A NULL document stays NULL."""
-    blank = text.isNotNull() & (F.length(F.trim(text)) == 0)
+    blank = text.isNotNull() & text.rlike(r'^\s*$')
     checked = F.when(blank, F.raise_error(F.lit("empty JSON document"))).otherwise(text)
     return F.from_json(checked, ddl, {"mode": "FAILFAST"})
 
@@ -61,11 +61,6 @@ def json_float(doc: Column, *path: str) -> Column:
     return json_text(doc, *path).cast("float")
 
 
-def extract_text(text: Column, json_path: str) -> Column:
-    """One scalar out of raw JSON text without a schema: ``get_json_object``."""
-    return F.get_json_object(text, json_path)
-
-
 def build_json(record: Column) -> Column:
     """Record -> JSON text, keys in field order, no spaces."""
     return F.to_json(record)

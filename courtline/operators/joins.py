@@ -1,43 +1,14 @@
-"""Joins against dimension tables, broadcast only behind a size check."""
+"""Joins against dimension tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# A dimension is broadcast to every task only when it holds at most this many
-# rows; beyond it the join falls back to Spark's shuffle join (AQE may still
-# switch it to a broadcast from run-time sizes).
-DEFAULT_BROADCAST_ROWS = 100_000
 
+def lookup_join(fact: DataFrame, dim: DataFrame, on: Column | str | list, how: str = "inner") -> DataFrame:
+    """Join a large ``fact`` to a ``dim`` table.
 
-_checked: dict[tuple, bool] = {}
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows+1).
-
-    The answer for a plain scan of stored files is remembered per session and
-    file set, so a dimension read by many queries is checked once."""
-    files = tuple(sorted(dim.inputFiles()))
-    key = (dim.sparkSession.sparkContext.applicationId, files, tuple(dim.columns), max_rows)
-    if files and key in _checked:
-        return _checked[key]
-    ok = dim.limit(max_rows + 1).count() <= max_rows
-    if files:
-        _checked[key] = ok
-    return ok
-
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Column | str | list,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a large ``fact`` to a ``dim`` table, broadcasting ``dim`` only when
-    its row count is proven to be within ``max_rows``."""
-    if fits_broadcast(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
+    No side is forced to be broadcast: Spark broadcasts ``dim`` when its size
+    in bytes, from the files' statistics or measured at run time by AQE, is
+    within ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise."""
     return fact.join(dim, on, how)

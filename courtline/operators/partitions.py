@@ -18,12 +18,12 @@ def partition_calendar(df: DataFrame, date_col: str, day_col: str = "day") -> Da
     """Every day from the first to the last ``date_col`` of ``df``, with the
     number of rows landed for it (0 for a day without rows).
 
-    The bounds are one partial+final aggregate; the calendar has one row per
-    day (bounded by the time span, not by the data volume); the per-day counts
-    are a grouped count with map-side combine, joined on the day."""
-    bounds = df.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
-    days = bounds.select(day_calendar(F.col("_lo"), F.col("_hi")).alias(day_col))
+    The per-day counts are one grouped count with map-side combine; the bounds
+    come from these counts (Spark reuses their shuffle), so the rows are read
+    once. Counts and calendar have a row per day, bounded by the time span."""
     counts = df.groupBy(F.col(date_col).alias(day_col)).agg(F.count(F.lit(1)).alias("rows"))
+    bounds = counts.agg(F.min(day_col).alias("_lo"), F.max(day_col).alias("_hi"))
+    days = bounds.select(day_calendar(F.col("_lo"), F.col("_hi")).alias(day_col))
     return days.join(counts, day_col, "left").select(
         day_col, F.coalesce(F.col("rows"), F.lit(0).cast("long")).alias("rows")
     )

@@ -1,26 +1,26 @@
 """Window operators: latest row per key and global ranking.
 
 ``global_rank`` replaces ``row_number() over (order by ...)``, which Spark runs
-as one task behind an ``Exchange SinglePartition``. At scale it range-partitions
-on the sort key instead, numbers rows inside each partition, and adds the
-running total of the partition sizes (one number per partition, the way
-``RDD.zipWithIndex`` numbers rows).
+as one task behind an ``Exchange SinglePartition``. It range-partitions on the
+sort key instead, numbers rows inside each partition, and adds the running
+total of the partition sizes. Inputs of every size take this one path.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.session import checkpoint_root
 
-# Rows one task may sort for a plain single-partition window.
-SINGLE_TASK_ROWS = 1_000_000
-# Target rows per range partition on the distributed path.
+# Target rows per range partition.
 ROWS_PER_RANGE = 2_000_000
+# Ranges whose offsets are summed together (two levels hold its square).
+RANGES_PER_RUN = 1024
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition id << 33 | row index
 
 
@@ -37,72 +37,65 @@ def latest_per_key(
 
 
 def global_rank(
-    df: DataFrame,
-    order: Sequence[Column],
-    rank_col: str,
-    *,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    rows_per_range: int = ROWS_PER_RANGE,
+    df: DataFrame, order: Sequence[Column], rank_col: str, *, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """``row_number() over (order by <order>)`` as BIGINT, distributed.
 
-    ``order`` should be a total order (append a unique tie-break), otherwise
-    tied rows get arbitrary ranks, as in any row_number."""
-    return global_ranks(
-        df, {rank_col: order}, single_task_rows=single_task_rows, rows_per_range=rows_per_range
-    )
+    ``keys`` identify a row and must close ``order`` as its tie-break: equal
+    sort values then never share one range, however many rows hold them."""
+    return global_ranks(df, {rank_col: order}, keys=keys, rows_per_range=rows_per_range)
 
 
 def global_ranks(
-    df: DataFrame,
-    ranks: dict[str, Sequence[Column]],
-    *,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    rows_per_range: int = ROWS_PER_RANGE,
+    df: DataFrame, ranks: dict[str, Sequence[Column]], *, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Several global row numbers, one per ``{rank_col: order}``.
 
     The input is checkpointed to the shared checkpoint folder first, so that
-    counting and ranking see the same rows even if a stage is recomputed
-    after an executor loss, and so the input is computed once. Inputs of at
-    most ``single_task_rows`` rows take plain windows (their size is now
-    proven); larger ones take the ranged path, one pass per rank, with at
-    least one range per core and about ``rows_per_range`` rows per range."""
+    it is computed once and counting and ranking see the same rows even if a
+    stage is recomputed after an executor loss. Each rank range-sorts only the
+    keys and its own sort columns and is joined back by the keys."""
     checkpoint_root(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    n = out.count()
-    if n <= single_task_rows:
-        for rank_col, order in ranks.items():
-            out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
-        return out
-    # at least one range per core (the work spreads even when n is moderate),
-    # more when the data needs them
+    base = df.checkpoint(eager=True)
+    n = base.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = max(1, math.ceil(n / rows_per_range), min(cores, n))
+    out = base
     for rank_col, order in ranks.items():
-        out = _ranged_rank(out, order, rank_col, parts)
+        place = _ranged_rank(base, order, rank_col, parts, keys)
+        place = place.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        out = out.join(place, same).drop(*[f"_{k}" for k in keys])
     return out
 
 
-def _ranged_rank(df: DataFrame, order: Sequence[Column], rank_col: str, parts: int) -> DataFrame:
+def _running(df: DataFrame, by: str, at: str) -> DataFrame:
+    """``(by, at, before)``: the sum of ``n`` over the smaller ``at`` of a group.
+
+    A group has at most RANGES_PER_RUN entries."""
+    lists = df.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(at, "n"))).alias("_l"))
+    before = F.expr(
+        f"transform(_l, (x, i) -> struct(x.{at} as {at}, aggregate(slice(_l, 1, i), 0L, (a, y) -> a + y.n) as before))"
+    )
+    return lists.select(by, F.explode(before).alias("_x")).select(by, f"_x.{at}", "_x.before")
+
+
+def _ranged_rank(df: DataFrame, order: Sequence[Column], rank_col: str, parts: int, keys: Sequence[str]) -> DataFrame:
     # Range partitioning keeps equal sort keys in one partition and orders the
     # partitions, so (partition, position inside it) is the global position.
     tagged = (
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_rid", F.monotonically_increasing_id())
+        .select(*keys, F.monotonically_increasing_id().alias("_rid"))
         .checkpoint(eager=True)  # fixes partition ids for counting and ranking
     )
-    pid = F.shiftright("_rid", 33)
-    # One count per range partition (bounded by `parts`, not by the data):
-    # the running offsets are computed from that short list, as
-    # RDD.zipWithIndex does, and broadcast back.
-    sizes = sorted(tuple(r) for r in tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
-    offsets, running = [], 0
-    for part_id, n in sizes:
-        offsets.append((part_id, running))
-        running += n
-    off = df.sparkSession.createDataFrame(offsets, "_pid long, _off long")
-    ranked = tagged.join(F.broadcast(off), pid == F.col("_pid"))
+    sizes = tagged.groupBy(F.shiftright("_rid", 33).alias("_pid")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("_run", F.floor(F.col("_pid") / RANGES_PER_RUN))
+    runs = sizes.groupBy("_run").agg(F.sum("n").alias("n")).withColumn("_all", F.lit(0))
+    inner = _running(sizes, "_run", "_pid").withColumnRenamed("before", "_in")
+    outer = _running(runs, "_all", "_run").select("_run", F.col("before").alias("_out"))
+    offsets = inner.join(outer, "_run").select("_pid", (F.col("_in") + F.col("_out")).alias("_off"))
+    offsets = offsets.checkpoint(eager=True)  # one row per range
+    ranked = tagged.withColumn("_pid", F.shiftright("_rid", 33)).join(offsets, "_pid")
     rank = F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_LOW_BITS)) + 1
-    return ranked.withColumn(rank_col, rank.cast("long")).drop("_rid", "_pid", "_off")
+    return ranked.select(*keys, rank.cast("long").alias(rank_col))

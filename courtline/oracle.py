@@ -109,12 +109,8 @@ fct_player_performance AS (
            - turnovers AS efficiency_rating,
          points * 1.0 + rebounds * 1.2 + assists * 1.5 + steals * 3.0 + blocks * 3.0
            - turnovers * 1.0 AS fantasy_points,
-         (CASE WHEN points >= 10 THEN 1 ELSE 0 END + CASE WHEN rebounds >= 10 THEN 1 ELSE 0 END
-          + CASE WHEN assists >= 10 THEN 1 ELSE 0 END + CASE WHEN steals >= 10 THEN 1 ELSE 0 END
-          + CASE WHEN blocks >= 10 THEN 1 ELSE 0 END) >= 2 AS is_double_double,
-         (CASE WHEN points >= 10 THEN 1 ELSE 0 END + CASE WHEN rebounds >= 10 THEN 1 ELSE 0 END
-          + CASE WHEN assists >= 10 THEN 1 ELSE 0 END + CASE WHEN steals >= 10 THEN 1 ELSE 0 END
-          + CASE WHEN blocks >= 10 THEN 1 ELSE 0 END) >= 3 AS is_triple_double
+         len(list_filter([points, rebounds, assists, steals, blocks], lambda x: x >= 10)) >= 2 AS is_double_double,
+         len(list_filter([points, rebounds, assists, steals, blocks], lambda x: x >= 10)) >= 3 AS is_triple_double
   FROM stg_player_stats
 )"""
 
@@ -146,7 +142,8 @@ stg_team_stats AS (
 
 DIM_TEAMS = STG_TEAM_STATS + """,
 latest_team AS (
-  SELECT *, row_number() OVER (PARTITION BY team_abbreviation ORDER BY stat_date DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY team_abbreviation
+           ORDER BY stat_date DESC, wins + losses DESC, wins DESC, net_rating DESC) AS rn
   FROM stg_team_stats
 ),
 dim_teams AS (
@@ -165,25 +162,16 @@ dim_teams AS (
 )"""
 
 RPT_TEAM_STANDINGS = FCT_GAME_RESULTS + "," + DIM_TEAMS + """,
-home_split AS (
-  SELECT home_team AS team, count(*) AS home_games,
-         CAST(sum(CASE WHEN winner = home_team THEN 1 ELSE 0 END) AS BIGINT) AS home_wins
-  FROM fct_game_results GROUP BY home_team
-),
-wins_split AS (
-  SELECT winner AS team, count(*) AS wins_in_data FROM fct_game_results GROUP BY winner
-),
 rpt_team_standings AS (
   SELECT t.team_abbreviation, t.team_name, t.wins, t.losses, t.games_played, t.win_pct,
          t.pts_per_game, t.opp_pts_per_game, t.net_rating, t.team_tier,
          t.fg_pct, t.fg3_pct, t.ft_pct,
-         coalesce(h.home_games, 0) AS home_games_played,
-         coalesce(h.home_wins, 0) AS home_wins,
-         coalesce(w.wins_in_data, 0) AS total_wins_in_data,
+         (SELECT count(*) FROM fct_game_results g WHERE g.home_team = t.team_abbreviation) AS home_games_played,
+         (SELECT count(*) FROM fct_game_results g
+          WHERE g.home_team = t.team_abbreviation AND g.winner = t.team_abbreviation) AS home_wins,
+         (SELECT count(*) FROM fct_game_results g WHERE g.winner = t.team_abbreviation) AS total_wins_in_data,
          row_number() OVER (ORDER BY t.win_pct DESC, t.team_abbreviation) AS overall_rank
   FROM dim_teams t
-  LEFT JOIN home_split h ON t.team_abbreviation = h.team
-  LEFT JOIN wins_split w ON t.team_abbreviation = w.team
 )"""
 
 RPT_PLAYER_RANKINGS = FCT_PLAYER_PERFORMANCE + """,
@@ -281,7 +269,7 @@ last_game AS (
          count(*) OVER (PARTITION BY player_id) AS games,
          sum(fantasy_points) OVER (PARTITION BY player_id) AS total_fp,
          row_number() OVER (PARTITION BY player_id
-                            ORDER BY game_date DESC, stat_id DESC, fantasy_points DESC) AS rn
+                            ORDER BY game_date DESC, CAST(stat_id AS BIGINT) DESC, fantasy_points DESC) AS rn
   FROM fct_player_performance
 ),
 form AS (
@@ -304,6 +292,30 @@ alerts AS (
     AND (last_fp * n >= 1.5 * earlier OR last_fp * n <= 0.5 * earlier)
 )"""
 
+def _league(day: str) -> str:
+    """The league on one day; ``day`` picks it from the games."""
+    return _with(
+        FCT_GAME_RESULTS + "," + DIM_TEAMS + "," + FCT_PLAYER_PERFORMANCE,
+        f""", chosen AS (SELECT {day} AS d FROM fct_game_results),
+g AS (SELECT * FROM fct_game_results WHERE game_date = (SELECT d FROM chosen)),
+scores AS (SELECT unnest([home_score, away_score]) AS score FROM g),
+p AS (SELECT * FROM fct_player_performance WHERE game_date = (SELECT d FROM chosen)),
+share AS (SELECT team_abbreviation AS team, CASE WHEN wins + losses > 0 THEN wins / (wins + losses) ELSE 0 END AS pct
+          FROM stg_team_stats WHERE stat_date = (SELECT d FROM chosen))
+SELECT (SELECT d FROM chosen) AS report_date,
+       (SELECT count(*) FROM g) AS games_played_yesterday,
+       (SELECT round(avg(score), 1) FROM scores) AS avg_score,
+       (SELECT player_id FROM p ORDER BY points DESC, player_id DESC LIMIT 1) AS highest_scorer,
+       (SELECT max(points) FROM p) AS highest_score,
+       (SELECT count(*) FROM g WHERE (SELECT round(pct, 3) FROM share WHERE team = winner)
+                                   < (SELECT round(pct, 3) FROM share WHERE team = loser)) AS upsets,
+       (SELECT CAST(sum(three_pointers_made) AS BIGINT) FROM p) AS total_three_pointers,
+       (SELECT min(margin_of_victory) FROM g) AS closest_game_margin,
+       (SELECT count(*) FROM g WHERE contains(game_status, 'OT')) AS overtime_games,
+       (SELECT count(DISTINCT team_abbreviation) FROM stg_team_stats) AS total_teams""",
+    )
+
+
 ORACLE.update({
     "raw_scan": ORACLE["stg_games"],
     "land_response": ORACLE["stg_games"],
@@ -337,9 +349,7 @@ SELECT event_id, props->>'k' AS k_text, CAST(props->>'k' AS INTEGER) AS k FROM e
     "threshold_count": _with(
         FCT_PLAYER_PERFORMANCE,
         """SELECT stat_id, game_id, player_id,
-       CASE WHEN points >= 10 THEN 1 ELSE 0 END + CASE WHEN rebounds >= 10 THEN 1 ELSE 0 END
-       + CASE WHEN assists >= 10 THEN 1 ELSE 0 END + CASE WHEN steals >= 10 THEN 1 ELSE 0 END
-       + CASE WHEN blocks >= 10 THEN 1 ELSE 0 END AS double_digit_stats,
+       CAST(len(list_filter([points, rebounds, assists, steals, blocks], lambda x: x >= 10)) AS INTEGER) AS double_digit_stats,
        is_double_double, is_triple_double
 FROM fct_player_performance""",
     ),
@@ -409,26 +419,25 @@ FROM payroll""",
        count(*) FILTER (WHERE severity = 'high') AS high_severity_count
 FROM alerts""",
     ),
-    "league_summary": _with(
-        RPT_TEAM_STANDINGS + "," + FCT_PLAYER_PERFORMANCE,
-        """, day AS (SELECT max(game_date) AS d FROM fct_game_results),
-g AS (SELECT * FROM fct_game_results WHERE game_date = (SELECT d FROM day)),
-p AS (SELECT * FROM fct_player_performance WHERE game_date = (SELECT d FROM day))
-SELECT (SELECT d FROM day) AS report_date,
-       (SELECT count(*) FROM g) AS games_played_yesterday,
-       (SELECT round(sum(home_score + away_score) / (2 * count(*)), 1) FROM g) AS avg_score,
-       (SELECT player_id FROM p ORDER BY points DESC, player_id DESC LIMIT 1) AS highest_scorer,
-       (SELECT max(points) FROM p) AS highest_score,
-       (SELECT count(*) FROM g
-          JOIN dim_teams w ON g.winner = w.team_abbreviation
-          JOIN dim_teams l ON g.loser = l.team_abbreviation
-        WHERE w.win_pct < l.win_pct) AS upsets,
-       (SELECT CAST(sum(three_pointers_made) AS BIGINT) FROM p) AS total_three_pointers,
-       (SELECT min(margin_of_victory) FROM g) AS closest_game_margin,
-       (SELECT count(*) FILTER (WHERE contains(game_status, 'OT')) FROM g) AS overtime_games,
-       (SELECT count(*) FROM rpt_team_standings) AS total_teams""",
+    "league_summary": _league("max(game_date)"),
+    "league_summary_for_day": _league("max(game_date) FILTER (WHERE game_date <= DATE '1998-06-30')"),
+    "watchlist_alerts_for_day": _with(
+        FCT_PLAYER_PERFORMANCE.replace(
+            "FROM stg_player_stats\n)", "FROM stg_player_stats WHERE game_date <= DATE '1998-06-30'\n)"
+        ) + WATCHLIST[len(FCT_PLAYER_PERFORMANCE):],
+        "SELECT * REPLACE (DATE '1998-06-30' AS report_date) FROM alerts",
+    ),
+    "changed_files": "SELECT 1 AS tick, o_orderstatus, count(*) AS orders FROM orders GROUP BY o_orderstatus",
+    "load_log": _with(
+        STG_GAMES + "," + STG_PLAYER_STATS + "," + STG_TEAM_STATS,
+        """SELECT 'games' AS table_name, count(*) AS record_count, min(game_date) AS first_partition,
+       max(game_date) AS last_partition FROM stg_games
+UNION ALL SELECT 'player_stats', count(*), min(game_date), max(game_date) FROM stg_player_stats
+UNION ALL SELECT 'team_stats', count(*), min(stat_date), max(stat_date) FROM stg_team_stats""",
     ),
 })
 
 ORACLE["watchlist_document"] = ORACLE["watchlist_alerts"]
+ORACLE["league_document"] = ORACLE["league_summary"]
+ORACLE["salary_sheet"] = ORACLE["salary_cap"]
 ORACLE["backfill_runs"] = ORACLE["dim_teams"]

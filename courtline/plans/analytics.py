@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.functions.scalar import round_half_away
+from courtline.functions.scalar import guarded_ratio, round_half_away
 
 # Fixed values of the salary cap rules.
 SALARY_CAP = 136_000_000.0
@@ -30,13 +30,16 @@ def latest_day(df: DataFrame, date_col: str) -> Column:
 def league_summary(
     games: DataFrame,
     players: DataFrame,
+    team_days: DataFrame,
     teams: DataFrame,
-    standings: DataFrame,
     day: Column,
 ) -> DataFrame:
     """One row describing ``day``: games, mean score, top scorer, upsets,
-    three-pointers, closest margin, overtime games, and the number of teams
-    in the standings.
+    three-pointers, closest margin, overtime games, and the number of teams.
+
+    ``team_days`` are the daily team statistics: an upset is a win of the team
+    with the lower win share on ``day``. ``teams`` has the standings' teams.
+    The mean is over the scores that are known.
 
     Each input is reduced once to a one-row aggregate (the day filter reaches
     the scans); the rows are stacked by ``unionByName`` and folded into one
@@ -44,14 +47,18 @@ def league_summary(
     c = F.col
     g = games.where(c("game_date") == day)
     p = players.where(c("game_date") == day)
-    tw = teams.select(c("team_abbreviation").alias("w_team"), c("win_pct").alias("w_pct"))
-    tl = teams.select(c("team_abbreviation").alias("l_team"), c("win_pct").alias("l_pct"))
+    played = c("wins") + c("losses")
+    standing = team_days.where(c("stat_date") == day).select("team_abbreviation", guarded_ratio(c("wins"), played).alias("pct"))
+    standing = standing.groupBy("team_abbreviation").agg(F.max("pct").alias("pct"))
+    tw = standing.select(c("team_abbreviation").alias("w_team"), c("pct").alias("w_pct"))
+    tl = standing.select(c("team_abbreviation").alias("l_team"), c("pct").alias("l_pct"))
     upsets = g.join(tw, g.winner == tw.w_team).join(tl, g.loser == tl.l_team).where(c("w_pct") < c("l_pct"))
     n_games = F.count(F.lit(1))
+    known_sum = F.sum(F.coalesce(c("home_score"), F.lit(0)) + F.coalesce(c("away_score"), F.lit(0)))
     parts = [
         g.agg(
             n_games.alias("games_played_yesterday"),
-            round_half_away(F.sum(c("home_score") + c("away_score")) / (2 * n_games), 1).alias("avg_score"),
+            round_half_away(known_sum / F.nullif(F.count("home_score") + F.count("away_score"), F.lit(0)), 1).alias("avg_score"),
             F.min("margin_of_victory").alias("closest_game_margin"),
             F.count_if(c("game_status").contains("OT")).alias("overtime_games"),
         ),
@@ -61,7 +68,7 @@ def league_summary(
             F.sum("three_pointers_made").cast("long").alias("total_three_pointers"),
         ),
         upsets.agg(F.count(F.lit(1)).alias("upsets")),
-        standings.agg(F.count(F.lit(1)).alias("total_teams")),
+        teams.agg(F.count(F.lit(1)).alias("total_teams")),
     ]
     stacked = parts[0]
     for part in parts[1:]:
@@ -75,22 +82,28 @@ def league_summary(
 
 
 def player_form(perf: DataFrame) -> DataFrame:
-    """Per player: the last game (latest date; ties by stat id, then fantasy
-    points) and the count and sum of fantasy points of the earlier games.
-
-    One grouped aggregate: ``max(struct(...))`` picks the last game with
-    partial aggregation, so a player with a huge history never gathers it
-    in one place."""
-    last = F.max(F.struct("game_date", "stat_id", "fantasy_points"))
-    agg = perf.groupBy("player_id").agg(
-        last.alias("last"), F.count(F.lit(1)).alias("games"), F.sum("fantasy_points").alias("total_fp")
+    """Per player: the last game (latest date; ties by stat id as a number, then
+    fantasy points) and the count and sum of the known fantasy points of the
+    earlier games.
+
+    A hash aggregate of fixed-width values (count, sum, latest date) reduces
+    the facts before any sort; only the rows of a player's last date, which
+    a join by player and date picks, are then compared in full."""
+    known = perf.select("player_id", "game_date", F.col("stat_id").try_cast("long").alias("stat_no"), "fantasy_points")
+    totals = known.groupBy("player_id").agg(
+        F.max("game_date").alias("last_game_date"), F.count("fantasy_points").alias("games"), F.sum("fantasy_points").alias("total_fp")
     )
-    return agg.select(
+    dates = totals.select(F.col("player_id").alias("_player"), F.col("last_game_date").alias("_date"))
+    last_rows = known.join(dates, (F.col("player_id") == F.col("_player")) & (F.col("game_date") == F.col("_date")))
+    last = last_rows.groupBy("_player").agg(F.max(F.struct("stat_no", "fantasy_points")).alias("last"))
+    last_points = F.col("last.fantasy_points")
+    has_last = F.when(last_points.isNull(), 0).otherwise(1)
+    return totals.join(last, F.col("player_id") == F.col("_player")).select(
         "player_id",
-        F.col("last.game_date").alias("last_game_date"),
-        F.col("last.fantasy_points").alias("last_fantasy_points"),
-        (F.col("games") - 1).alias("earlier_games"),
-        (F.col("total_fp") - F.col("last.fantasy_points")).alias("earlier_fp"),
+        "last_game_date",
+        last_points.alias("last_fantasy_points"),
+        (F.col("games") - has_last).cast("long").alias("earlier_games"),
+        (F.col("total_fp") - F.coalesce(last_points, F.lit(0))).alias("earlier_fp"),
     )
 
 
@@ -103,14 +116,15 @@ def watchlist_alerts(
     slump_at: float = SLUMP_AT,
     slump_high_at: float = SLUMP_HIGH_AT,
 ) -> DataFrame:
-    """One row per alert: the last game against the mean of the earlier ones.
+    """One row per alert: the last game up to ``report_date`` against the mean
+    of the earlier ones; later games are not seen.
 
     ``last >= breakout_at * mean`` is a breakout, ``last <= slump_at * mean``
     a slump; severity is high beyond the ``*_high_at`` factors, else medium.
     Compared as ``last * n >= f * sum`` in exact DECIMAL arithmetic, so no
     division rounds. Players need ``min_earlier`` earlier games and a
     positive mean."""
-    form = player_form(perf)
+    form = player_form(perf.where(F.col("game_date") <= report_date))
     last_n = F.col("last_fantasy_points") * F.col("earlier_games")
 
     def times(f: float) -> Column:

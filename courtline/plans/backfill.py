@@ -2,8 +2,8 @@
 
 Each run is one Spark job that replaces its days (days in parallel inside
 the job); the driver only walks the list of runs, which is bounded by the
-calendar, not by the data. The day filter of a run reaches the source scan
-(a partition filter on stored data).
+calendar, not by the data. The source is read once, into a scratch table
+kept by day; a run then reads the folders of its days (a partition filter).
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from courtline.operators.partitions import DEFAULT_BATCH_DAYS, backfill_batches,
 from courtline.plans import chain, marts
 from courtline.plans.materialize import build_staging, read_staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import append_load_log, clear_partitions, write_partitions
+from courtline.sinks.tables import append_load_log, clear_partitions, table_files, write_partitions
+from courtline.sources import raw
 
 
 def plan_runs(source: DataFrame, batch_days: int = DEFAULT_BATCH_DAYS) -> list[list]:
@@ -44,16 +45,19 @@ def backfill(
 ) -> int:
     """Land ``source`` into ``table_path`` run by run; returns the number of
     runs. Every calendar day of a run is replaced, so a day without rows in
-    the source is cleared."""
-    runs = _runs_with_rows(source, batch_days)
+    the source is emptied if the table holds it."""
+    path = scratch_path(spark, "backfill-source")
+    write_partitions(source, path)
+    kept = raw.raw_scan(spark, path)
+    runs = _runs_with_rows(kept, batch_days)
+    held = {r["day"] for r in table_files(spark, table_path).select("day").distinct().collect()}  # one per day
     for i, run in enumerate(runs):
-        days = [d for d, _ in run]
-        # the calendar already counted each day's rows: clear the empty days,
-        # replace the others with this run's rows
-        clear_partitions(spark, table_path, [d.isoformat() for d, n in run if n == 0])
+        days = [d for d, n in run if n]
         obs = Observation(f"{table_name}_run_{i}")
-        write_partitions(source.where(F.col("partition_date").isin(days)), table_path,
-                         observation=obs if log_path else None)
+        rows = kept.where(F.col("partition_date").isin(days))
+        write_partitions(rows, table_path, observation=obs if log_path else None)
+        # the calendar has counted the rows of each day
+        clear_partitions(spark, table_path, [d.isoformat() for d, n in run if n == 0 and d in held], rows.schema)
         if log_path:
             append_load_log(spark, log_path, table_name, table_path, obs)
     return len(runs)

@@ -4,7 +4,8 @@
     raw team_stats   -> stg_team_stats   -> dim_teams              -+-> rpt_team_standings
     raw player_stats -> stg_player_stats -> fct_player_performance --> rpt_player_rankings
 
-Nothing here triggers a job; each function returns the plan of one model.
+The staging and mart models run nothing until they are read. The two reports
+rank on checkpointed inputs, which run when the report is built.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from courtline.plans import chain, staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import append_load_log, replace_table, write_document, write_partitions
+from courtline.sinks.tables import LOAD_LOG_SCHEMA, append_load_log, replace_table, write_document, write_partitions
 from courtline.sources import files, raw
 from courtline.sources.adapters import team_payroll
 
@@ -55,8 +55,7 @@ def watchlist_document_job(spark: SparkSession, sf_root: str) -> DataFrame:
     day = analytics.latest_day(perf, "game_date")
     alerts = analytics.watchlist_alerts(perf, day)
     out = scratch_path(spark, "document")
-    write_document(analytics.watchlist_summary(alerts, day), out, items=alerts)
-    return spark.read.schema(alerts.schema).json(os.path.join(out, "items"))
+    return write_document(lambda items: analytics.watchlist_summary(items, day), out, items=alerts)
 
 
 def partition_replace_job(spark: SparkSession, sf_root: str) -> DataFrame:
@@ -66,15 +65,21 @@ def partition_replace_job(spark: SparkSession, sf_root: str) -> DataFrame:
     path = land_raw(spark, sf_root, out, "games")
     land_raw(spark, sf_root, out, "games")
     first = raw.raw_scan(spark, path).agg(F.min("partition_date")).first()[0]
-    empty = spark.createDataFrame([], raw.RAW_SCHEMA).where(F.lit(False))
+    empty = spark.createDataFrame([], raw.RAW_SCHEMA)
     write_partitions(empty, path, days=[first])
     return staging.stg_games(raw.raw_scan(spark, path))
 
 
 def land_response_job(spark: SparkSession, sf_root: str) -> DataFrame:
-    """Write raw games as paged API responses, land them, stage them."""
-    out = scratch_path(spark, "responses")
-    raw.write_responses(chain.raw(spark, sf_root, "games"), out, replace_days=False)
+    """Write raw games as paged API responses, fetch the first twenty days twice
+    more (with no rows, then whole), land the newest fetches, stage them."""
+    out, source = scratch_path(spark, "responses"), scratch_path(spark, "source")
+    write_partitions(chain.raw(spark, sf_root, "games"), source)
+    games = raw.raw_scan(spark, source)
+    days = [r[0] for r in games.select("partition_date").distinct().orderBy("partition_date").take(20)]
+    raw.write_responses(games, out, "0000")
+    raw.write_responses(games.where(F.lit(False)), out, "0001", days=days)
+    raw.write_responses(games.where(F.col("partition_date").isin(days)), out, "0002")
     return staging.stg_games(raw.land_response(spark, out))
 
 
@@ -89,17 +94,19 @@ def sheet_ingest_job(spark: SparkSession, sf_root: str) -> DataFrame:
 
 
 def changed_files_job(spark: SparkSession, sf_root: str) -> DataFrame:
-    """Two sensor ticks over the input tables' files: the first (empty
-    cursor) requests a run per file, the second (advanced cursor) none."""
-    cursor_path = scratch_path(spark, "cursor")
-    listing = files.list_files(spark, sf_root, "*.parquet")
-    first = files.changed_files(listing, files.read_cursor(spark, cursor_path))
-    first = first.checkpoint(eager=True)
-    files.advance_cursor(files.read_cursor(spark, cursor_path), first).write.mode(
-        "overwrite"
-    ).parquet(cursor_path)
-    second = files.changed_files(listing, files.read_cursor(spark, cursor_path))
-    return first.withColumn("tick", F.lit(1)).unionByName(second.withColumn("tick", F.lit(2)))
+    """Two sensor ticks over the files of ``orders``: the rows of the files that
+    each tick requests, by order status. The first (empty cursor) requests all
+    files, the second (advanced cursor) none."""
+    watched, cursor = os.path.join(sf_root, "orders.parquet"), scratch_path(spark, "cursor")
+    loads = []
+    for number in (1, 2):
+        paths = [r["path"] for r in files.tick(spark, watched, cursor, "*.parquet").select("path").collect()]
+        if paths:
+            loads.append(spark.read.parquet(*paths).select(F.lit(number).alias("tick"), "o_orderstatus"))
+    rows = loads[0]
+    for load in loads[1:]:
+        rows = rows.unionByName(load)
+    return rows.groupBy("tick", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
 def load_log_job(spark: SparkSession, sf_root: str) -> DataFrame:
@@ -110,4 +117,5 @@ def load_log_job(spark: SparkSession, sf_root: str) -> DataFrame:
         obs = Observation(f"load_{table}")
         path = land_raw(spark, sf_root, out, table, observation=obs)
         append_load_log(spark, log, table, path, obs)
-    return spark.read.parquet(log)
+    logged = spark.read.schema(LOAD_LOG_SCHEMA).parquet(log)
+    return logged.select("table_name", "record_count", "first_partition", "last_partition")

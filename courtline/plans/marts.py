@@ -81,9 +81,13 @@ def fct_player_performance(stats: DataFrame) -> DataFrame:
 
 
 def dim_teams(team_stats: DataFrame) -> DataFrame:
-    """Latest stats row per team, with games played, win pct and tier."""
+    """Latest stats row per team, with games played, win pct and tier.
+
+    Of several rows of one team and day, the one with the most games, then the
+    most wins, then the highest net rating counts."""
     c = F.col
-    latest = latest_per_key(team_stats, ["team_abbreviation"], [c("stat_date").desc()])
+    newest = [c("stat_date").desc(), (c("wins") + c("losses")).desc_nulls_last(), c("wins").desc_nulls_last(), c("net_rating").desc_nulls_last()]
+    latest = latest_per_key(team_stats, ["team_abbreviation"], newest)
     played = c("wins") + c("losses")
     return latest.select(
         "team_abbreviation", "team_name",

@@ -9,6 +9,7 @@ marts stay full-history over the staging tables.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Iterable
 
@@ -16,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.plans import chain, staging
-from courtline.session import scratch_path
-from courtline.sinks.tables import clear_partitions, path_exists, write_partitions
+from courtline.session import checkpoint_root, scratch_path
+from courtline.sinks.tables import path_exists, table_files, write_partitions
 from courtline.sources import raw
 
 STAGING_MODELS = {
@@ -27,22 +28,35 @@ STAGING_MODELS = {
 }
 
 
-def staged_days(spark: SparkSession, table_path: str, date_col: str) -> DataFrame:
-    """Distinct days present in a day-partitioned table (empty if none yet)."""
-    if not path_exists(spark, table_path):  # nothing staged yet
-        return spark.createDataFrame([], "day date")
-    return spark.read.parquet(table_path).select(F.col(date_col).alias("day")).distinct()
+def raw_versions(spark: SparkSession, raw_root: str, table: str) -> DataFrame:
+    """``(day, version)`` of a raw table: a day's version names its files, which
+    get new names whenever the day is landed. From the listing alone."""
+    files = table_files(spark, os.path.join(raw_root, table))
+    named = files.select("day", F.struct(F.regexp_extract("path", r"([^/]+)$", 1).alias("n"), "mtime", "length").alias("f"))
+    return named.groupBy("day").agg(F.bit_xor(F.xxhash64("f")).alias("version"))
+
+
+def _versions_path(staging_root: str, table: str) -> str:
+    return os.path.join(staging_root, f"{table}_versions")
+
+
+def staged_versions(spark: SparkSession, staging_root: str, table: str) -> DataFrame:
+    """``(day, version)``: the raw version that each staged day was parsed from."""
+    path = _versions_path(staging_root, table)
+    if not path_exists(spark, path):  # nothing staged yet
+        return spark.createDataFrame([], "day date, version long")
+    log = spark.read.schema("day date, version long, staged_at timestamp").parquet(path)
+    newest = log.groupBy("day").agg(F.max_by("version", "staged_at").alias("version"))
+    return newest.where("version is not null")
 
 
 def pending_days(spark: SparkSession, raw_root: str, staging_root: str, table: str) -> list:
-    """Raw days not yet in staging (an anti join of two day lists; the list
-    reaching the driver has one entry per day)."""
-    _, date_col = STAGING_MODELS[table]
-    landed = raw.raw_scan(spark, os.path.join(raw_root, table)).select(
-        F.col("partition_date").alias("day")
-    ).distinct()
-    done = staged_days(spark, os.path.join(staging_root, table), date_col)
-    return sorted(r.day for r in landed.join(done, "day", "left_anti").collect())
+    """Days whose raw version is not the staged one: landed, landed again, or
+    gone from the raw table (the list has one entry per day)."""
+    landed = raw_versions(spark, raw_root, table).withColumnRenamed("version", "landed")
+    staged = staged_versions(spark, staging_root, table).withColumnRenamed("version", "staged")
+    both = landed.join(staged, "day", "full_outer")
+    return sorted(r.day for r in both.where(~F.col("landed").eqNullSafe(F.col("staged"))).select("day").collect())
 
 
 def build_staging(
@@ -51,20 +65,24 @@ def build_staging(
     """Parse ``days`` (all days when None) of a raw table into its typed
     staging table; the raw scan is pruned to those day folders, and only
     those staging days are replaced. A requested day without raw rows is
-    cleared from staging."""
+    emptied. The raw versions are noted before the parse, so a day landed
+    meanwhile is pending again."""
     model, date_col = STAGING_MODELS[table]
     source = raw.raw_scan(spark, os.path.join(raw_root, table))
     target = os.path.join(staging_root, table)
+    checkpoint_root(spark)
+    versions = raw_versions(spark, raw_root, table)
     if days is not None:
-        days = list(days)
+        days = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in days]
         if not days:
             return
         source = source.where(F.col("partition_date").isin(days))
-        # staging rows are 1:1 with raw rows, so the raw day list (a scan of
-        # the partition column only) tells which requested days are empty
-        present = {r[0] for r in source.select("partition_date").distinct().collect()}
-        clear_partitions(spark, target, [d.isoformat() for d in days if d not in present], date_col)
-    write_partitions(model(source), target, col=date_col)
+        asked = spark.createDataFrame([(d,) for d in days], "day date")
+        versions = asked.join(versions, "day", "left")
+    versions = versions.checkpoint(eager=True)
+    write_partitions(model(source), target, col=date_col, days=days)
+    noted = versions.withColumn("staged_at", F.current_timestamp())
+    noted.coalesce(1).write.mode("append").parquet(_versions_path(staging_root, table))
 
 
 def read_staging(spark: SparkSession, staging_root: str, table: str) -> DataFrame:
@@ -75,13 +93,20 @@ def read_staging(spark: SparkSession, staging_root: str, table: str) -> DataFram
 
 
 def incremental_staging_job(spark: SparkSession, sf_root: str) -> DataFrame:
-    """Land even days of raw games and stage them; then land the odd days and
-    stage only the pending (odd) days; return the staging table."""
+    """Land and stage raw games in four steps, staging only what is pending:
+    every day with no home scores yet; all days again, complete; the first twenty
+    days emptied; and these landed again. The result is the
+    staging table, which must hold the last landing of every day."""
     base = scratch_path(spark, "staging")
-    raw_root, staging_root = os.path.join(base, "raw"), os.path.join(base, "staging")
-    games = chain.raw(spark, sf_root, "games")
-    parity = F.pmod(F.unix_date("partition_date"), F.lit(2))
-    for part in (0, 1):
-        write_partitions(games.where(parity == part), os.path.join(raw_root, "games"))
+    raw_root, staging_root, source = (os.path.join(base, n) for n in ("raw", "staging", "source"))
+    write_partitions(chain.raw(spark, sf_root, "games"), source)
+    games = raw.raw_scan(spark, source)
+    days = [r[0] for r in games.select("partition_date").distinct().collect()]  # one per day
+    first = sorted(days)[:20]
+    early = games.withColumn("data", F.regexp_replace("data", '("home_team_score":)[0-9]+', "$10"))
+    path = os.path.join(raw_root, "games")
+    again = games.where(F.col("partition_date").isin(first))
+    for rows, replaced in ((early, None), (games, None), (games.where(F.lit(False)), first), (again, None)):
+        write_partitions(rows, path, days=replaced)
         build_staging(spark, raw_root, staging_root, "games", pending_days(spark, raw_root, staging_root, "games"))
     return read_staging(spark, staging_root, "games")

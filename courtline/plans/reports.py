@@ -21,17 +21,17 @@ def _order(measure: str, tiebreak: list[str]) -> list:
 def team_game_counts(game_results: DataFrame) -> DataFrame:
     """Per team: home games, home wins and wins, in ONE pass over the games.
 
-    Each game contributes a home row (for its home team) and a win row (for its
-    winner); one grouped sum replaces the two separate GROUP BYs of the
-    report, so the game facts are scanned and shuffled once, and the partial
-    aggregate ships at most one row per team per task."""
+    The games are counted by (home team, winner) first; each of these at most
+    teams x teams groups then adds to its home team and to its winner."""
     c = F.col
-    home_win = F.when(c("winner") == c("home_team"), 1).otherwise(0)
-    rows = game_results.select(
+    games = game_results.groupBy("home_team", "winner").agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("long")
+    home_win = F.when(c("winner") == c("home_team"), c("n")).otherwise(zero)
+    rows = games.select(
         F.explode(
             F.array(
-                F.struct(c("home_team").alias("team"), F.lit(1).alias("h"), home_win.alias("hw"), F.lit(0).alias("w")),
-                F.struct(c("winner").alias("team"), F.lit(0).alias("h"), F.lit(0).alias("hw"), F.lit(1).alias("w")),
+                F.struct(c("home_team").alias("team"), c("n").alias("h"), home_win.alias("hw"), zero.alias("w")),
+                F.struct(c("winner").alias("team"), zero.alias("h"), zero.alias("hw"), c("n").alias("w")),
             )
         ).alias("r")
     ).select("r.*")
@@ -62,7 +62,7 @@ def standings_base(teams: DataFrame, game_results: DataFrame) -> DataFrame:
 
 def rpt_team_standings(teams: DataFrame, game_results: DataFrame) -> DataFrame:
     base = standings_base(teams, game_results)
-    ranked = global_ranks(base, {"overall_rank": _order("win_pct", TEAM_TIEBREAK)})
+    ranked = global_ranks(base, {"overall_rank": _order("win_pct", TEAM_TIEBREAK)}, keys=TEAM_TIEBREAK)
     return ranked.orderBy("overall_rank")
 
 
@@ -98,5 +98,6 @@ def rpt_player_rankings(perf: DataFrame) -> DataFrame:
             "scoring_rank": _order("avg_points", PLAYER_TIEBREAK),
             "fantasy_rank": _order("avg_fantasy_points", PLAYER_TIEBREAK),
         },
+        keys=PLAYER_TIEBREAK,
     )
     return ranked.orderBy("efficiency_rank")

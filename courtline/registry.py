@@ -4,6 +4,7 @@ tables Spark derives from them), over their whole extent."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,14 @@ from courtline.operators.partitions import (
     partition_calendar,
 )
 from courtline.operators.windows import global_rank, latest_per_key
-from courtline.plans import analytics, chain, landing, marts, reports
+from courtline.plans import analytics, chain, landing, marts
 from courtline.plans.backfill import backfill_job
-from courtline.plans.materialize import incremental_staging_job
+from courtline.plans.materialize import incremental_staging_job, read_staging
+from courtline.session import scratch_path
+from courtline.sinks.tables import write_document, write_partitions
 from courtline.sources.adapters import team_payroll
-from courtline.sources.tables import read_fact
+from courtline.sources.raw import read_sheet, write_sheet
+from courtline.sources.tables import read_table
 from courtline.streaming.landing import stream_landing_job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def q_json_scalar(spark: SparkSession, root: str) -> DataFrame:
     """Validate + parse event properties, extract ``k`` as text and as INT."""
-    ev = read_fact(spark, root, "events", "event_id", "props")
+    ev = read_table(spark, root, "events", "event_id", "props")
     doc = parse_json(F.col("props"), "k STRING")
     return ev.select("event_id", doc.alias("p")).select(
         "event_id", json_text(F.col("p"), "k").alias("k_text"), json_int(F.col("p"), "k").alias("k")
@@ -124,15 +128,10 @@ def q_latest_per_key(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_global_rank(spark: SparkSession, root: str) -> DataFrame:
-    """Rank every game by total points (ties by game id), always on the
-    distributed range-partitioned path: the game facts grow with the data."""
+    """Rank every game by total points (ties by game id)."""
     g = chain.fct_game_results(spark, root).select("game_id", "game_date", "total_points")
-    return global_rank(
-        g,
-        [F.col("total_points").desc_nulls_last(), F.col("game_id").asc_nulls_last()],
-        "points_rank",
-        single_task_rows=0,
-    )
+    order = [F.col("total_points").desc_nulls_last(), F.col("game_id").asc_nulls_last()]
+    return global_rank(g, order, "points_rank", keys=["game_id"])
 
 
 # --- partitions ---------------------------------------------------------------
@@ -147,25 +146,62 @@ def q_backfill_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_for_day(spark: SparkSession, root: str) -> DataFrame:
-    g = chain.fct_game_results(spark, root)
-    return for_day(g, "game_date", analytics.latest_day(g, "game_date"))
+    """The last day's games from typed staging kept by day: the day is a literal,
+    so the scan lists that day's folder alone."""
+    base = scratch_path(spark, "for-day")
+    write_partitions(chain.stg_games(spark, root), os.path.join(base, "games"), col="game_date")
+    staged = read_staging(spark, base, "games")
+    day = staged.agg(F.max("game_date")).first()[0]
+    return marts.fct_game_results(for_day(staged, "game_date", day))
 
 
 # --- summaries ------------------------------------------------------------------
 
-def q_league_summary(spark: SparkSession, root: str) -> DataFrame:
+MID_DAY = "1998-06-30"  # a day within the tables' range, for the summaries of a chosen day
+
+
+def _league_summary(spark: SparkSession, root: str, until: str | None) -> DataFrame:
     games = chain.fct_game_results(spark, root)
-    teams = chain.dim_teams(spark, root)
+    seen = games.where(F.col("game_date") <= F.lit(until).cast("date")) if until else games
+    day = F.lit(seen.agg(F.max("game_date")).first()[0]).cast("date")
     return analytics.league_summary(
         games,
         chain.fct_player_performance(spark, root),
-        teams,
-        # the summary counts standings rows; ranking and ordering do not change them
-        reports.standings_base(teams, games),
-        analytics.latest_day(games, "game_date"),
+        chain.stg_team_stats(spark, root),
+        chain.dim_teams(spark, root),
+        day,
     )
 
 
+def q_league_summary(spark: SparkSession, root: str) -> DataFrame:
+    return _league_summary(spark, root, None)
+
+
+def q_league_summary_for_day(spark: SparkSession, root: str) -> DataFrame:
+    """The league on the last day with games up to MID_DAY."""
+    return _league_summary(spark, root, MID_DAY)
+
+
+def q_league_document(spark: SparkSession, root: str) -> DataFrame:
+    """The league summary written as a document and read back."""
+    summary = _league_summary(spark, root, None)
+    out = scratch_path(spark, "league-document")
+    write_document(summary, out)
+    return spark.read.schema(summary.schema).json(os.path.join(out, "summary"))
+
+
+def q_watchlist_alerts_for_day(spark: SparkSession, root: str) -> DataFrame:
+    """The alerts as they stood on MID_DAY."""
+    return analytics.watchlist_alerts(chain.fct_player_performance(spark, root), F.lit(MID_DAY).cast("date"))
+
+
+def q_salary_sheet(spark: SparkSession, root: str) -> DataFrame:
+    """The known 8-column salary sheet: written as a CSV drop and read by its name."""
+    sheet = scratch_path(spark, "salary-sheet")
+    write_sheet(analytics.salary_cap(team_payroll(spark, root)), sheet)
+    return read_sheet(spark, sheet, "salary_cap")
+
+
 def q_watchlist_alerts(spark: SparkSession, root: str) -> DataFrame:
     perf = chain.fct_player_performance(spark, root)
     return analytics.watchlist_alerts(perf, analytics.latest_day(perf, "game_date"))
@@ -224,6 +260,10 @@ QUERIES: dict[str, Query] = {
     "rpt_player_rankings": chain.rpt_player_rankings,
     # summaries
     "league_summary": q_league_summary,
+    "league_summary_for_day": q_league_summary_for_day,
+    "league_document": q_league_document,
+    "watchlist_alerts_for_day": q_watchlist_alerts_for_day,
+    "salary_sheet": q_salary_sheet,
     "watchlist_alerts": q_watchlist_alerts,
     "watchlist_summary": q_watchlist_summary,
     "salary_cap": q_salary_cap,

@@ -4,13 +4,14 @@ write a summary document, append to the load log."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtline.session import scoped_conf
+from courtline.session import checkpoint_root, scoped_conf
 
 PARTITION_COL = "partition_date"
 # Bound on rows per output file, so a hot day is written as several files
@@ -35,26 +36,40 @@ LOAD_LOG_SCHEMA = T.StructType(
 )
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return bool(fs.exists(p))
+    """Whether ``path`` has anything to read (files are listed, none is opened)."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def table_files(spark: SparkSession, table_path: str, col: str = PARTITION_COL) -> DataFrame:
+    """``(day, path, mtime, length)`` of a day-partitioned table's data files;
+    mtime in microseconds. Only the listing is read, never a file's content."""
+    empty = spark.createDataFrame([], "day date, path string, mtime long, length long")
+    if not path_exists(spark, table_path):
+        return empty
+    files = spark.read.format("binaryFile").option("basePath", table_path).load(table_path)
+    if col not in files.columns:
+        return empty
+    return files.select(
+        F.col(col).cast("date").alias("day"), "path", F.unix_micros("modificationTime").alias("mtime"), "length"
+    )
 
 
-def clear_partitions(spark: SparkSession, table_path: str, days: Iterable, col: str = PARTITION_COL) -> None:
-    """Delete the folders of ``days``: an empty replacement of a day.
+def clear_partitions(spark: SparkSession, table_path: str, days: Iterable, schema: T.StructType, col: str = PARTITION_COL) -> None:
+    """Replace each of ``days`` by an empty file: a day without rows.
 
     Dynamic partition overwrite only touches folders it writes to, so an
     empty frame would leave the old rows of the day in place."""
+    fields = T.StructType([f for f in schema.fields if f.name != col])
+    nothing = spark.createDataFrame([], fields)
     for day in days:
-        p, fs = _hadoop_path(spark, f"{table_path.rstrip('/')}/{col}={day}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        nothing.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/{col}={day}")
 
 
 def write_partitions(
@@ -67,29 +82,35 @@ def write_partitions(
     """Replace the days present in ``df`` (dynamic partition overwrite) and
     leave every other day untouched; a re-run with the same rows is a no-op.
 
-    ``days`` names the days this run is responsible for: those absent from
-    ``df`` are cleared, which is how a day is replaced by nothing."""
-    if days is not None:
-        days = [d if isinstance(d, str) else d.isoformat() for d in days]
-        present = {
-            r[0].isoformat() for r in df.select(col).distinct().collect()
-        } if days else set()
-        clear_partitions(df.sparkSession, table_path, [d for d in days if d not in present], col)
+    ``days`` names the days this run is responsible for: those the write gave
+    no new file are emptied after it, which is how a day is replaced by
+    nothing. A failure in between leaves their old rows, and a re-run ends
+    the replacement."""
+    spark = df.sparkSession
+    wanted = sorted({d if isinstance(d, str) else d.isoformat() for d in days}) if days is not None else []
+
+    def paths_now() -> DataFrame:
+        # fixed before the write starts: a listing is taken when it is read
+        return table_files(spark, table_path, col).where(F.col("day").cast("string").isin(wanted)).checkpoint(eager=True)
+
+    if wanted:
+        checkpoint_root(spark)
+        before = paths_now()
     out = df.observe(observation, F.count(F.lit(1)).alias("rows"),
                      F.min(col).alias("first"), F.max(col).alias("last")) if observation else df
-    # Into a table that does not exist yet, a plain write gives the same result
-    # and skips moving every day folder into place at job commit.
-    p, fs = _hadoop_path(df.sparkSession, table_path)
-    overwrite_mode = "dynamic" if fs.exists(p) else "static"
-    with scoped_conf(df.sparkSession, SMALL_WRITE_CONF):
+    with scoped_conf(spark, SMALL_WRITE_CONF):
         (
             clustered_by_day(out, col)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite_mode)
+            .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
             .partitionBy(col)
             .parquet(table_path)
         )
+    if wanted:
+        new = paths_now().join(before.select("path"), "path", "left_anti").select("day").distinct()
+        written = {r["day"].isoformat() for r in new.collect()}  # at most one row per day
+        clear_partitions(spark, table_path, [d for d in wanted if d not in written], df.schema, col)
 
 
 def clustered_by_day(df: DataFrame, col: str = PARTITION_COL) -> DataFrame:
@@ -107,14 +128,18 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_document(summary: DataFrame, path: str, items: DataFrame | None = None) -> None:
+def write_document(summary: DataFrame | Callable[[DataFrame], DataFrame], path: str, items: DataFrame | None = None) -> DataFrame | None:
     """A summary document as JSON: ``path/summary`` holds the one-row summary;
     a list that grows with the data (e.g. alerts) goes to ``path/items`` as
     JSON lines, written by the tasks that hold it rather than nested into one
-    row."""
-    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    row. ``summary`` may be a function of the written items, which are then
+    computed once. Returns the items as written."""
     if items is not None:
         items.write.mode("overwrite").json(f"{path}/items")
+        items = items.sparkSession.read.schema(items.schema).json(f"{path}/items")
+    head = summary(items) if callable(summary) else summary
+    head.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    return items
 
 
 def append_load_log(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions.json import build_json
 from courtline.operators.joins import lookup_join
-from courtline.sources.tables import read_fact, read_table
+from courtline.sources.tables import read_table
 
 N_TEAMS = 25          # one team per nation
 N_PLAYERS = 500       # player_id = partkey % 500 + 1
@@ -45,7 +45,7 @@ def _day_text(ts: Column) -> Column:
 
 def games_raw(spark: SparkSession, root: str) -> DataFrame:
     """Raw games: one document per order."""
-    o = read_fact(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = read_table(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = read_table(spark, root, "customer", "c_custkey", "c_nationkey")
     # orders x customer is a fact-to-fact join at scale: let Spark/AQE choose.
     g = o.join(c, o.o_custkey == c.c_custkey).withColumn(
@@ -68,7 +68,7 @@ def games_raw(spark: SparkSession, root: str) -> DataFrame:
 
 def player_stats_raw(spark: SparkSession, root: str) -> DataFrame:
     """Raw player box scores: one document per line item."""
-    li = read_fact(
+    li = read_table(
         spark, root, "lineitem",
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
     )

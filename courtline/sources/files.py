@@ -9,10 +9,15 @@ simply absent from the listing, hence no change.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtline.session import checkpoint_root
+from courtline.sinks.tables import path_exists
+
 CURSOR_SCHEMA = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("cursor_mtime", T.LongType())]
 )
@@ -38,11 +43,12 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 
 def changed_files(files: DataFrame, cursor: DataFrame) -> DataFrame:
     """Files whose mtime differs from the cursor (or that have no cursor
-    entry), each with its run key ``<name>_<mtime>``; one row per run key."""
+    entry), each with its run key ``<name>_<mtime>_<digest of the path>``."""
     joined = files.join(cursor, "path", "left")
     changed = joined.where(~F.col("mtime").eqNullSafe(F.col("cursor_mtime")))
-    keyed = changed.withColumn("run_key", F.concat_ws("_", "name", F.col("mtime").cast("string")))
-    return keyed.dropDuplicates(["run_key"]).select("run_key", "path", "name", "mtime", "length")
+    digest = F.substring(F.sha2("path", 256), 1, 12)
+    keyed = changed.withColumn("run_key", F.concat_ws("_", "name", F.col("mtime").cast("string"), digest))
+    return keyed.select("run_key", "path", "name", "mtime", "length")
 
 
 def advance_cursor(cursor: DataFrame, changed: DataFrame) -> DataFrame:
@@ -52,10 +58,35 @@ def advance_cursor(cursor: DataFrame, changed: DataFrame) -> DataFrame:
     return kept.unionByName(updates)
 
 
-def read_cursor(spark: SparkSession, path: str) -> DataFrame:
-    """The stored cursor table, or an empty one on the first run."""
-    from courtline.sinks.tables import path_exists
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The stored cursor's complete versions."""
+    if not path_exists(spark, path):
+        return []
+    done = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    found = done.select(F.regexp_extract("path", r"/version=(\d+)/", 1).alias("v")).distinct().collect()
+    return sorted(int(r["v"]) for r in found if r["v"])
 
-    if not path_exists(spark, path):  # first run: no cursor stored yet
+
+def read_cursor(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of the stored cursor, or an empty one on the first run."""
+    versions = _versions(spark, path)
+    if not versions:
         return spark.createDataFrame([], CURSOR_SCHEMA)
-    return spark.read.schema(CURSOR_SCHEMA).parquet(path)
+    return spark.read.schema(CURSOR_SCHEMA).parquet(os.path.join(path, f"version={versions[-1]}"))
+
+
+def write_cursor(cursor: DataFrame, path: str) -> None:
+    """Store ``cursor`` as a new version; the version it was made from stays
+    readable until the new one is complete."""
+    version = max(_versions(cursor.sparkSession, path), default=0) + 1
+    cursor.coalesce(1).write.parquet(os.path.join(path, f"version={version}"))
+
+
+def tick(spark: SparkSession, folder: str, cursor_path: str, glob: str = "*") -> DataFrame:
+    """One run of the sensor: the changed files' run requests, after the cursor
+    has been advanced past them."""
+    checkpoint_root(spark)
+    cursor = read_cursor(spark, cursor_path)
+    changed = changed_files(list_files(spark, folder, glob), cursor).checkpoint(eager=True)
+    write_cursor(advance_cursor(cursor, changed), cursor_path)
+    return changed

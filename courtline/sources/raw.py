@@ -7,19 +7,26 @@ with the fixed layout ``(data STRING)`` + the ``partition_date`` folder column.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.functions.json import RESPONSE_DDL, parse_json
-from courtline.operators.windows import latest_per_key
 from courtline.session import scoped_conf
 from courtline.sinks.tables import SMALL_WRITE_CONF
 
 RAW_SCHEMA = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("partition_date", T.DateType())]
 )
+RESPONSE_SCHEMA = T.StructType(
+    [T.StructField("value", T.StringType()), T.StructField("partition_date", T.DateType())]
+)
+LISTING_DDL = (
+    "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY, partition_date DATE, fetch_id STRING"
+)
+FETCH_SCHEMA = T.StructType([*RESPONSE_SCHEMA.fields, T.StructField("fetch_id", T.StringType())])
 RAW_TABLES = ("games", "player_stats", "team_stats")
 # Records per landed response page (the API's page size).
 RESPONSE_PAGE_ROWS = 100
@@ -48,18 +55,16 @@ def register_raw(spark: SparkSession, root: str, tables=RAW_TABLES, prefix: str
 
 
 def write_responses(
-    raw: DataFrame,
-    path: str,
-    page_rows: int = RESPONSE_PAGE_ROWS,
-    mode: str = "overwrite",
-    replace_days: bool = True,
+    raw: DataFrame, path: str, fetch_id: str, page_rows: int = RESPONSE_PAGE_ROWS, days: Iterable | None = None
 ) -> None:
-    """Write raw rows as landed API responses: JSON lines ``{"data": [...]}``,
-    at most ``page_rows`` documents per line, in ``partition_date=``
-    folders. With ``mode="overwrite"`` and ``replace_days`` only the days
-    written are replaced (a re-fetch of a day replaces that day's responses);
-    ``replace_days=False`` is a plain write (a new folder, or disjoint days
-    appended), which saves the per-day folder moves at commit.
+    """Write raw rows as the landed API responses of one fetch: JSON lines
+    ``{"data": [...]}``, at most ``page_rows`` documents per line, in
+    ``partition_date=<day>/fetch_id=<id>/`` folders. A re-run of a fetch
+    replaces that fetch; other fetches stay.
+
+    ``fetch_id`` orders the fetches of a day as text (e.g. a UTC time stamp).
+    ``days`` are the days asked for: one without rows gets an empty response,
+    so that the newest fetch of such a day is known to have no rows.
 
     Pages are consecutive runs of ``page_rows`` rows inside a task after a
     REBALANCE by day (AQE splits a hot day over several tasks) and a sort by
@@ -69,15 +74,19 @@ def write_responses(
     ordered = raw.hint("rebalance", "partition_date").sortWithinPartitions("partition_date", "data")
     paged = ordered.withColumn("_page", F.floor(F.monotonically_increasing_id() / page_rows))
     body = F.concat(F.lit('{"data":['), F.array_join(F.collect_list("data"), ","), F.lit("]}"))
+    pages = paged.groupBy("partition_date", "_page").agg(body.alias("value")).select("partition_date", "value")
+    if days is not None:
+        spark = raw.sparkSession
+        asked = spark.createDataFrame([(d,) for d in days], "partition_date date")
+        empty = asked.join(raw.select("partition_date").distinct(), "partition_date", "left_anti")
+        pages = pages.unionByName(empty.withColumn("value", F.lit('{"data":[]}')))
     with scoped_conf(raw.sparkSession, SMALL_WRITE_CONF):
         (
-            paged.groupBy("partition_date", "_page")
-            .agg(body.alias("value"))
-            .select("partition_date", "value")
+            pages.withColumn("fetch_id", F.lit(fetch_id))
             .hint("rebalance", "partition_date")
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic" if replace_days else "static")
-            .partitionBy("partition_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("partition_date", "fetch_id")
             .text(path)
         )
 
@@ -93,31 +102,34 @@ def responses_to_raw(lines: DataFrame) -> DataFrame:
     )
 
 
-def land_response(spark: SparkSession, path: str, latest_fetch_only: bool = True) -> DataFrame:
+def newest_fetches(spark: SparkSession, path: str) -> DataFrame:
+    """``(partition_date, fetch_id)`` of each day's newest fetch, from the file
+    listing alone."""
+    listed = spark.read.format("binaryFile").schema(LISTING_DDL).load(path)
+    return listed.groupBy("partition_date").agg(F.max("fetch_id").alias("fetch_id"))
+
+
+def land_response(spark: SparkSession, path: str) -> DataFrame:
     """Landed response files -> raw rows ``(partition_date, data)``; the day
     comes from the ``partition_date=`` folder names.
 
-    With ``latest_fetch_only``, a day holding files of several fetches keeps
-    only the newest fetch. A fetch is one write job (the job id in Spark's
-    output file names, else the file name); its time is its newest file's
-    modification time. The choice runs on a one-row-per-file table (latest
-    row per day), joined back to the lines by (day, fetch)."""
-    lines = spark.read.text(path)
-    if not latest_fetch_only:
-        return responses_to_raw(lines)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^part-\d+-([0-9a-f-]{36})", 1)
-    tagged = lines.select(
-        "value",
-        "partition_date",
-        F.when(name != "", name).otherwise(F.col("_metadata.file_name")).alias("_fetch"),
-        F.col("_metadata.file_modification_time").alias("_mtime"),
-    )
-    fetches = tagged.groupBy("partition_date", "_fetch").agg(F.max("_mtime").alias("_at"))
-    latest = latest_per_key(
-        fetches, ["partition_date"], [F.col("_at").desc(), F.col("_fetch").desc()]
-    ).select("partition_date", "_fetch")
-    kept = tagged.join(latest, ["partition_date", "_fetch"], "left_semi")
-    return responses_to_raw(kept.select("value", "partition_date"))
+    Where the days hold ``fetch_id=`` folders, the newest fetch of a day
+    replaces its earlier ones; its files, whatever their names, all count.
+    Files that lie in a day's folder itself are one fetch."""
+    lines = spark.read.schema(RESPONSE_SCHEMA).text(path)
+    if path_has_fetches(spark, path):
+        lines = spark.read.schema(FETCH_SCHEMA).text(path)
+        lines = lines.join(newest_fetches(spark, path), ["partition_date", "fetch_id"], "left_semi")
+    return responses_to_raw(lines.select("value", "partition_date"))
+
+
+def days_of_responses(spark: SparkSession, path: str) -> DataFrame:
+    """``(partition_date)``: the days that have response files, from the listing."""
+    return spark.read.format("binaryFile").load(path).select(F.col("partition_date").cast("date").alias("partition_date")).distinct()
+
+
+def path_has_fetches(spark: SparkSession, path: str) -> bool:
+    return "fetch_id" in spark.read.format("binaryFile").load(path).columns
 
 
 # Fixed sheet layouts (header names and types of the known sheets).

@@ -12,25 +12,3 @@ def read_table(spark: SparkSession, root: str, name: str, *columns: str) -> Data
     scan's ReadSchema carry only what the caller uses."""
     df = spark.read.parquet(os.path.join(root, f"{name}.parquet"))
     return df.select(*columns) if columns else df
-
-
-def read_fact(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
-    """``read_table`` for a fact table whose rows feed CPU-heavy work."""
-    return spread(read_table(spark, root, name, *columns))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work (JSON building and parsing) every core.
-
-    A scan splits a file only at Parquet row-group boundaries, so a table
-    written as one row group is read by a single task. When a scan yields
-    fewer partitions than the cluster has cores, deal its rows round-robin
-    over ``defaultParallelism`` partitions. On large inputs (many files or
-    row groups) the scan already has more partitions than cores and nothing
-    is added."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        scan_parts = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access: leave the scan as it is
-        return df
-    return df.repartition(cores) if scan_parts < cores else df

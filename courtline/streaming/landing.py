@@ -10,7 +10,7 @@ A micro-batch may hold only some of a day's response files (e.g. under
 ``maxFilesPerTrigger``), so a batch does not land its own rows: it takes the
 list of days it touched and re-reads those days' complete response folders
 (a partition-pruned batch read) before replacing the days. A re-fetched day
-is written by ``write_responses`` as a replacement of that day's folder.
+is a further ``fetch_id=`` folder of the day, of which the newest counts.
 """
 
 from __future__ import annotations
@@ -19,17 +19,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from courtline.plans import chain, staging
 from courtline.session import scratch_path
 from courtline.sinks.tables import write_partitions
 from courtline.sources import raw
 
-RESPONSE_FILE_SCHEMA = T.StructType(
-    [T.StructField("value", T.StringType()), T.StructField("partition_date", T.DateType())]
-)
-
 
 def start_landing(
     spark: SparkSession,
@@ -40,8 +35,8 @@ def start_landing(
     max_files_per_trigger: int | None = None,
 ):
     """Start the landing stream; returns the StreamingQuery."""
-    # partition_date is discovered from the partition_date=<day> folders
-    reader = spark.readStream.format("text").schema(RESPONSE_FILE_SCHEMA)
+    # partition_date and fetch_id are discovered from the folder names
+    reader = spark.readStream.format("text").schema(raw.FETCH_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(responses_dir)
@@ -52,27 +47,36 @@ def start_landing(
         if not days:
             return
         current = raw.land_response(spark, responses_dir).where(F.col("partition_date").isin(days))
-        # every touched day has response files, so dynamic overwrite replaces each
-        write_partitions(current, table_path)
+        # a day whose newest fetch is empty is emptied
+        write_partitions(current, table_path, days=days)
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
 
 
+def stored_raw(spark: SparkSession, rows: DataFrame, base: str) -> DataFrame:
+    """Raw rows kept by day, so that each arrival reads its days only."""
+    path = os.path.join(base, "source")
+    write_partitions(rows, path)
+    return raw.raw_scan(spark, path)
+
+
 def stream_landing_job(spark: SparkSession, sf_root: str) -> DataFrame:
-    """Two arrivals of response files (even days, then odd days), each
-    landed by one availableNow run of the same stream; stg_games over the
-    landed table."""
+    """Four arrivals of response files, each landed by one availableNow run of
+    the same stream: even days and odd days; then the first twenty even days
+    again with no rows; then these with theirs. stg_games over the landed table."""
     base = scratch_path(spark, "stream")
     responses = os.path.join(base, "responses")
     table = os.path.join(base, "raw_games")
     ckpt = os.path.join(base, "_checkpoint")
     games = chain.raw(spark, sf_root, "games")
     parity = F.pmod(F.unix_date("partition_date"), F.lit(2))
-    for part in (0, 1):
-        # the two arrivals hold disjoint days: a plain append
-        raw.write_responses(games.where(parity == part), responses, mode="append", replace_days=False)
-        q = start_landing(spark, responses, table, ckpt)
-        q.awaitTermination()
+    games = stored_raw(spark, games, base)
+    days = games.where(parity == 0).select("partition_date").distinct().orderBy("partition_date")
+    early = [r[0] for r in days.take(20)]
+    arrivals = [(parity == 0, None), (parity == 1, None), (F.lit(False), early), (F.col("partition_date").isin(early), None)]
+    for number, (rows, days) in enumerate(arrivals):
+        raw.write_responses(games.where(rows), responses, f"{number:04d}", days=days)
+        start_landing(spark, responses, table, ckpt).awaitTermination()
     return staging.stg_games(raw.raw_scan(spark, table))

@@ -127,7 +127,7 @@ def test_missing_key_and_json_null_are_null(spark):
     assert row.season is None and row.game_status is None and row.home_score == 100
 
 
-@pytest.mark.parametrize("bad", ["{not json", "", "   ", "[1, 2]", '{"id": 1'])
+@pytest.mark.parametrize("bad", ["{not json", "", "   ", "\n", "\t", "[1, 2]", '{"id": 1'])
 def test_malformed_or_empty_json_raises(spark, bad):
     with pytest.raises(Exception):
         staging.stg_games(raw_df(spark, [(bad, D1)])).collect()
@@ -167,3 +167,31 @@ def test_rankings_break_ties_by_player_then_team(spark):
     ]
     assert all(isinstance(r.efficiency_rank, int) for r in rows)
     assert dict(perf.dtypes)["fantasy_points"] == "decimal(17,1)"
+
+
+def test_mean_score_is_over_known_scores(spark):
+    from pyspark.sql import functions as F
+
+    from courtline.plans import analytics
+
+    games = marts.fct_game_results(staging.stg_games(raw_df(spark, [(game(1, "A", "B", 100, 90), D1), (game(2, "A", "B", None, 80), D1)])))
+    perf = marts.fct_player_performance(staging.stg_player_stats(raw_df(spark, [(stat_doc(1, pts=9), D1)])))
+    # B wins game 2; its share is lower on the day itself and higher later
+    days = [(team_doc("A", 8, 2, 110.0, 100.0), D1), (team_doc("B", 1, 9, 110.0, 100.0), D1), (team_doc("B", 99, 0, 110.0, 100.0), D2)]
+    team_days = staging.stg_team_stats(raw_df(spark, days))
+    day = F.lit(D1)
+    row = analytics.league_summary(games, perf, team_days, marts.dim_teams(team_days), day).first()
+    assert (row.avg_score, row.upsets, row.total_teams, row.games_played_yesterday) == (90.0, 1, 2, 2)
+
+
+def test_watchlist_stops_at_its_day(spark):
+    from pyspark.sql import functions as F
+
+    from courtline.plans import analytics
+
+    docs = [(stat_doc(i, pts=10), D1) for i in range(1, 7)] + [(stat_doc(99, pts=40), D1), (stat_doc(100, pts=2), D2)]
+    perf = marts.fct_player_performance(staging.stg_player_stats(raw_df(spark, docs)))
+    early = analytics.watchlist_alerts(perf, F.lit(D1)).collect()
+    late = analytics.watchlist_alerts(perf, F.lit(D2)).collect()
+    assert [(r.alert_type, r.last_game_date, r.earlier_games) for r in early] == [("breakout_game", D1, 6)]
+    assert [(r.alert_type, r.last_game_date, r.earlier_games) for r in late] == [("slump_alert", D2, 7)]

@@ -2,6 +2,7 @@
 landing, sheets, changed-file detection, calendar and batches, plan shapes."""
 
 import datetime as dt
+import json
 import os
 import time
 
@@ -25,9 +26,9 @@ def test_ranged_rank_equals_single_window(spark):
         (F.col("id") % 97).alias("m"), F.col("id").alias("k"), (F.col("id") * 7 % 13).alias("x")
     )
     order = [F.col("m").desc(), F.col("k")]
-    ranged = global_rank(df, order, "r", single_task_rows=0, rows_per_range=700)
+    ranged = global_rank(df, order, "r", keys=["k"], rows_per_range=700)
     plain = df.withColumn("r", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    assert sorted(ranged.collect()) == sorted(plain.collect())
+    assert sorted(ranged.select(*plain.columns).collect()) == sorted(plain.collect())
     assert "SinglePartition" not in _plan(ranged)
 
 
@@ -36,7 +37,7 @@ def test_ranks_are_one_to_n(spark):
     out = global_ranks(
         df,
         {"ra": [F.col("a").desc(), F.col("id")], "rb": [F.col("b"), F.col("id")]},
-        single_task_rows=0,
+        keys=["id"],
         rows_per_range=500,
     )
     for c in ("ra", "rb"):
@@ -96,7 +97,7 @@ def test_write_responses_round_trip(spark, tmp_dir):
     days = [dt.date(2024, 1, 1 + i % 3) for i in range(250)]
     df = _raw_rows(spark, days)
     out = os.path.join(tmp_dir, "resp")
-    raw.write_responses(df, out, page_rows=40)
+    raw.write_responses(df, out, "0000", page_rows=40)
     back = raw.land_response(spark, out)
     assert sorted(back.collect()) == sorted(df.select("partition_date", "data").collect())
     longest = spark.read.text(out).select(F.max(F.size(F.split("value", '\\{"id"')))).first()[0]
@@ -117,11 +118,7 @@ def test_changed_files_sensor(spark, tmp_dir):
     cursor_path = os.path.join(tmp_dir, "cursor")
 
     def tick():
-        listing = files.list_files(spark, watched, "*.csv")
-        cursor = files.read_cursor(spark, cursor_path)
-        changed = files.changed_files(listing, cursor).checkpoint(eager=True)
-        files.advance_cursor(cursor, changed).checkpoint(eager=True).write.mode("overwrite").parquet(cursor_path)
-        return [r.run_key for r in changed.collect()]
+        return [r.run_key for r in files.tick(spark, watched, cursor_path, "*.csv").collect()]
 
     first = tick()
     assert len(first) == 1 and first[0].startswith("salary_cap_")
@@ -130,6 +127,14 @@ def test_changed_files_sensor(spark, tmp_dir):
     os.utime(p, (t, t))
     second = tick()
     assert len(second) == 1 and second != first  # changed: a new run key
+    # two files of one name and time are two runs
+    twin = os.path.join(watched, "other", "salary_cap.csv")
+    os.makedirs(os.path.dirname(twin))
+    with open(twin, "w") as f:
+        f.write("a\n1\n")
+    for q in (p, twin):
+        os.utime(q, (t + 9, t + 9))
+    assert len(set(tick())) == 2
     os.remove(p)
     assert tick() == []  # missing file: no change
 
@@ -147,7 +152,7 @@ def test_identical_documents_do_not_share_one_page(spark, tmp_dir):
     day = dt.date(2024, 1, 1)
     df = spark.createDataFrame([('{"id":1}', day)] * 400, raw.RAW_SCHEMA)
     out = os.path.join(tmp_dir, "resp")
-    raw.write_responses(df, out, page_rows=40)
+    raw.write_responses(df, out, "0000", page_rows=40)
     sizes = [r[0] for r in spark.read.text(out).select(F.size(F.split("value", '\\{"id"')) - 1).collect()]
     assert sum(sizes) == 400 and max(sizes) <= 40 and len(sizes) >= 10
 
@@ -172,15 +177,20 @@ def test_stream_landing_with_split_batches(spark, tmp_dir):
     days = [dt.date(2024, 1, 1 + i % 3) for i in range(300)]
     df = _raw_rows(spark, days)
     responses, table, ckpt = (os.path.join(tmp_dir, n) for n in ("resp", "table", "ckpt"))
-    raw.write_responses(df, responses, page_rows=40)
+    raw.write_responses(df, responses, "0000", page_rows=40)
     start_landing(spark, responses, table, ckpt, max_files_per_trigger=1).awaitTermination()
     got = raw.raw_scan(spark, table)
     assert sorted(got.collect()) == sorted(df.select("partition_date", "data").collect())
     # a re-fetch of one day replaces only that day
-    raw.write_responses(_raw_rows(spark, [dt.date(2024, 1, 2)] * 5), responses)
+    raw.write_responses(_raw_rows(spark, [dt.date(2024, 1, 2)] * 5), responses, "0001")
     start_landing(spark, responses, table, ckpt, max_files_per_trigger=1).awaitTermination()
     counts = {r.partition_date: r["count"] for r in raw.raw_scan(spark, table).groupBy("partition_date").count().collect()}
     assert counts == {dt.date(2024, 1, 1): 100, dt.date(2024, 1, 2): 5, dt.date(2024, 1, 3): 100}
+    # a re-fetch without rows empties its day
+    raw.write_responses(_raw_rows(spark, []), responses, "0002", days=[dt.date(2024, 1, 3)])
+    start_landing(spark, responses, table, ckpt).awaitTermination()
+    counts = {r.partition_date: r["count"] for r in raw.raw_scan(spark, table).groupBy("partition_date").count().collect()}
+    assert counts == {dt.date(2024, 1, 1): 100, dt.date(2024, 1, 2): 5}
 
 
 def test_cli_land_and_stage_team_stats(spark, tmp_dir):
@@ -200,18 +210,73 @@ def test_cli_land_and_stage_team_stats(spark, tmp_dir):
 
 
 def test_land_response_keeps_latest_fetch_per_day(spark, tmp_dir):
-    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    d1, d2, d3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
     out = os.path.join(tmp_dir, "resp")
-    first = spark.createDataFrame([('{"v":1}', d1), ('{"v":1}', d2)] + [(f'{{"p":{i}}}', d1) for i in range(90)],
+    first = spark.createDataFrame([('{"v":1}', d1), ('{"v":1}', d2), ('{"v":1}', d3)] + [(f'{{"p":{i}}}', d1) for i in range(90)],
                                   raw.RAW_SCHEMA)
-    raw.write_responses(first, out, page_rows=30, replace_days=False)
-    time.sleep(1.1)
-    # a second fetch of day 1 lands next to the first one (append)
-    raw.write_responses(spark.createDataFrame([('{"v":2}', d1)], raw.RAW_SCHEMA), out, mode="append",
-                        replace_days=False)
+    raw.write_responses(first, out, "0000", page_rows=30)
+    # a second fetch of day 1, of several foreign files; one without rows of day 3
+    for name, v in (("page1.json", 2), ("page2.json", 3)):
+        folder = os.path.join(out, "partition_date=2024-01-01", "fetch_id=0001")
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(f'{{"data": [{{"v": {v}}}]}}\n')
+    raw.write_responses(spark.createDataFrame([], raw.RAW_SCHEMA), out, "0001", days=[d3])
     rows = sorted((r.partition_date, r.data) for r in raw.land_response(spark, out).collect())
-    assert rows == [(d1, '{"v":2}'), (d2, '{"v":1}')]
-    assert raw.land_response(spark, out, latest_fetch_only=False).count() == 93
+    assert rows == [(d1, '{"v":2}'), (d1, '{"v":3}'), (d2, '{"v":1}')]
+    plan = _plan(raw.land_response(spark, out))
+    assert plan.count("FileScan text") == 1  # the newest fetch is found without reading the texts
+
+
+def test_staging_follows_days_landed_again(spark, tmp_dir):
+    from courtline.plans.materialize import build_staging, pending_days, read_staging
+    from tests.test_fixtures import game
+
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    raw_root, stg = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "stg")
+    path = os.path.join(raw_root, "games")
+
+    def land(score, day):
+        write_partitions(spark.createDataFrame([(json.dumps(game(1, "A", "B", score, 90)), day)], raw.RAW_SCHEMA), path)
+
+    def stage():
+        days = pending_days(spark, raw_root, stg, "games")
+        build_staging(spark, raw_root, stg, "games", days)
+        return days, sorted((r.game_date, r.home_score) for r in read_staging(spark, stg, "games").collect())
+
+    land(100, d1)
+    land(80, d2)
+    assert stage() == ([d1, d2], [(d1, 100), (d2, 80)])
+    assert stage()[0] == []
+    land(50, d1)
+    assert stage() == ([d1], [(d1, 50), (d2, 80)])
+    write_partitions(spark.createDataFrame([], raw.RAW_SCHEMA), path, days=[d2])
+    assert stage() == ([d2], [(d1, 50)])
+
+
+def test_cli_lands_responses(spark, tmp_dir):
+    from courtline.__main__ import parser, run
+
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    responses, raw_root = os.path.join(tmp_dir, "resp"), os.path.join(tmp_dir, "raw")
+    args = ["responses", "--responses", responses, "--raw-root", raw_root, "--table", "games"]
+    raw.write_responses(_raw_rows(spark, [d1, d1, d2]), responses, "0000")
+    run(spark, parser().parse_args(args))
+    raw.write_responses(_raw_rows(spark, [d1]), responses, "0001", days=[d1, d2])
+    run(spark, parser().parse_args(args))
+    assert [r.partition_date for r in raw.raw_scan(spark, os.path.join(raw_root, "games")).collect()] == [d1]
+
+
+def test_plans_of_reports_and_day(spark):
+    from courtline.plans import chain
+    from courtline.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    for name in ("rpt_team_standings", "rpt_player_rankings", "global_rank"):
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "SinglePartition" not in plan and "RoundRobin" not in plan, name
+    assert "PartitionFilters: [isnotnull(game_date" in _plan(QUERIES["for_day"](spark, SF_SMALL))
+    assert "RoundRobin" not in _plan(chain.fct_player_performance(spark, SF_SMALL))
 
 
 def test_read_sheet_named_layouts(spark, tmp_dir):

@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from courtline import oracle, registry
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = oracle.ORACLE
 TABLES = "nation customer supplier orders lineitem events".split()
 
 
@@ -37,9 +38,8 @@ def duck():
 
 
 def test_every_key_has_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"changed_files", "load_log"}
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
@@ -53,12 +53,6 @@ def test_matches_oracle(spark, duck, key):
     assert _multiset(s_cols, s_rows) == _multiset(o_cols, o_rows)
 
 
-@pytest.mark.parametrize("key", ["changed_files", "load_log"])
-def test_rows_only_keys_run(spark, key):
-    rows = QUERIES[key](spark, SF_SMALL).collect()
-    assert len(rows) > 0
-
-
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
