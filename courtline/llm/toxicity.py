@@ -1,10 +1,12 @@
 """Operator 10: toxicity by FTRL-proximal logistic regression.
 
 A text is the set of its hashed word unigrams, bigrams and skip-bigrams (one
-or two words left out).  Training rows are dealt into shards of about
-SHARD_ROWS; every shard runs FTRL-proximal (per-coordinate rates, L1) over
-its rows, and the shards' sparse weights are averaged.  The weights hold at
-most 2**BITS pairs, so they may be collected and broadcast at any corpus size.
+or two words left out).  The classifier learns from about MAX_ROWS labelled
+rows at most, chosen by a hash of their ids; they are dealt into shards of
+about SHARD_ROWS, every shard runs FTRL-proximal (per-coordinate rates, L1)
+over its rows, and the shards' sparse weights are averaged.  The weights hold
+at most 2**BITS pairs, so they may be collected and broadcast at any corpus
+size.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 20
+MAX_ROWS = 32_768  # labelled rows that teach
 SHARD_ROWS = 8192
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
@@ -125,13 +128,24 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def teaching_rows(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The labels (doc_id, label) that teach: all of them up to ``max_rows``, else
+    a share of about that size, by a hash of the id."""
+    taught = labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    total = taught.count()
+    if total <= max_rows:
+        return taught
+    return taught.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(max_rows / total * (1 << 30)))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
-    ``labels`` (doc_id, toxic) teaches from rows that are not held out.  A
-    null doc_id is never labelled and not held out; repeated labels of a
-    document count each.  Empty documents give an empty result."""
+    ``labels`` (doc_id, toxic) teaches from rows that are not held out, about
+    ``max_rows`` at most.  A null doc_id is never labelled and not held out;
+    repeated labels of a document count each, null ones not at all.  Empty
+    documents give an empty result; without labels every score is 0.5."""
     known = docs.select("doc_id", "text")
-    taught = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out(F.col("doc_id")))
-    weights = fit(known.join(taught, "doc_id").withColumnRenamed("doc_id", "key"))
+    taught = teaching_rows(labels.select("doc_id", F.col("toxic").alias("label")), max_rows)
+    weights = fit(known.join(F.broadcast(taught), "doc_id").withColumnRenamed("doc_id", "key"))
     return score(known.withColumn("held_out", held_out(F.col("doc_id"))), weights).select("doc_id", "held_out", "score", "predicted")
