@@ -19,6 +19,7 @@ from .html_extract import extract
 from .line_dedup import dedup_lines
 from .mixing import plan
 from .near_dedup import near_duplicates
+from .oracles import ORACLE  # noqa: F401
 from .packing import pack
 from .quality import quality_rules
 from .storage import importable, table
@@ -28,7 +29,6 @@ from .toxicity import toxicity
 WORD_BPE = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -78,14 +78,6 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
-ORACLE["op5_exact_dedup"] = """
-WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
-g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
-FROM d JOIN g USING (text_sha256)
-"""
-
-
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
