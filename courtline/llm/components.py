@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from courtline.session import checkpoint_root
 
 #: All remaining pairs are tested at once when they are at most this many times the bucket rows.
-PAIRS_PER_ROW = 2
+PAIRS_PER_ROW = 8
+#: Growth of the number of nodes per bucket that a round tests against the bucket.
+GROWTH = 8
+#: Nodes in a bucket from which on its nodes' shingles are counted, unless the operator says otherwise.
+CROWD = 16
 #: Shared buckets (16 bytes each) that may be broadcast; beyond that the join is shuffled.
 BROADCAST_BUCKETS = 1_000_000
 
@@ -24,67 +28,122 @@ def kept(df: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for the nodes of ``edges`` (a, b: long).
 
-    Alternates large-star and small-star steps until the edges stay the same.
-    A step keeps one row per edge: minima are combined before the shuffle and
-    joined back, so a node of very many edges is never gathered."""
-
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-
-    e = kept(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    while (now := mark(e)) != before:
-        before = now
+    Alternates large-star and small-star steps until every node but the roots
+    has one edge, to its root.  A step keeps one row per edge: minima are
+    combined before the shuffle and joined back, so a node of very many edges
+    is never gathered.  The result is checkpointed."""
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = kept(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x"))
+        open_nodes = ends.groupBy("x.node").agg(F.sum("x.up").alias("up"), F.sum("x.down").alias("down")).where("up > 1 or (up > 0 and down > 0)")
+        if not open_nodes.take(1):
+            break
+    own = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
 
 
-def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """The rows (bucket, node) whose bucket holds two nodes or more."""
-    shared = kept(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+def _held_twice(buckets: DataFrame, key: str) -> DataFrame:
+    """The rows of ``buckets`` whose ``key`` occurs twice or more."""
+    shared = kept(buckets.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(F.col(key).alias("shared")))
     small = shared.count() <= BROADCAST_BUCKETS
-    return buckets.join(F.broadcast(shared) if small else shared.hint("shuffle_hash"), "bucket").select("bucket", "node")
+    return buckets.join(F.broadcast(shared) if small else shared.hint("shuffle_hash"), F.col(key) == F.col("shared")).drop("shared")
 
 
-def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def shared_buckets(buckets: DataFrame) -> DataFrame:
+    """The rows (bucket, node) whose bucket holds two nodes or more.
+
+    Most rows fall out by the first 40 bits of their bucket, which compress
+    better in the shuffle than whole buckets."""
+    near = _held_twice(buckets.withColumn("head", F.shiftright("bucket", 24)), "head").drop("head")
+    return _held_twice(kept(near), "bucket").select("bucket", "node")
+
+
+def _pairs_possible(a: str, b: str, percent: int) -> str:
+    """Exact bound: the sizes and the numbers of shared shingles allow the similarity."""
+    sizes = f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
+    return f"{sizes} and {100 + percent} * least({a}.s, {b}.s) >= {percent} * ({a}.n + {b}.n)"
+
+
+def _bounded_rows(buckets: DataFrame, nodes: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], percent: int, crowd: int) -> DataFrame:
+    """The bucket rows with z = (n, size of the node's set; s, an upper bound of
+    what it shares with any node of the bucket), without hopeless nodes.
+
+    In buckets of ``crowd`` nodes or more, shingles that only one of all their
+    nodes has cannot be shared: s is n less their number.  A node that has too
+    many of its own to be linked with any node of the bucket leaves it, so a
+    large group of copies, each with changes of its own, is not compared pair
+    by pair."""
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("held"))
+    rows = kept(buckets.join(sizes, "bucket").join(nodes, "node").select("bucket", "node", "n", (F.col("held") >= crowd).alias("crowded")))
+    shingles = shingles_of(rows.where("crowded").select("node").distinct())
+    own = shingles.groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("own"))
+    rows = rows.join(own, "node", "left").withColumn("s", F.when(F.col("crowded"), F.col("n") - F.coalesce("own", F.lit(0))).otherwise(F.col("n")))
+    rows = kept(rows.where(f"100 * s >= {percent} * n").select("bucket", "node", "n", "s"))
+    best = rows.groupBy("bucket").agg(F.min("n").alias("least_n"), F.max("s").alias("most_s"), F.count("*").alias("held")).where("held > 1")
+    hope = f"{100 + percent} * least(s, most_s) >= {percent} * (n + least_n)"
+    return kept(rows.join(best, "bucket").where(hope).select("bucket", "node", F.struct("n", "s").alias("z")))
+
+
+def linked_components(
+    buckets: DataFrame, nodes: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame], DataFrame], percent: int,
+    crowd: int = CROWD,
+) -> DataFrame:
     """node, component over all links among the nodes that share a bucket.
 
     ``buckets`` has bucket and node (long, distinct rows, two or more of each
-    bucket, as ``shared_buckets`` gives them); ``verify`` keeps
-    those of the pairs (a, b) that are linked.  In a round every bucket whose
-    nodes are not yet one component tests one node, of its rarest component,
-    against all its nodes of other components, which is linear in the rows.
-    Once few pairs of different components remain, all of them are tested.
-    A pair goes untested only if its nodes are already in one component."""
-    rows = buckets.withColumn("component", F.col("node"))
-    edges: DataFrame | None = None
+    bucket, as ``shared_buckets`` gives them), ``nodes`` node and n (size of
+    its set); ``shingles_of`` gives the rows (node, shingle) of some nodes;
+    ``verify`` keeps those of the pairs (a, b, na, nb) whose similarity is
+    ``percent`` or more.
+
+    Pairs whose sizes or shared shingles rule a link out are never made; the
+    latter are counted in buckets of ``crowd`` nodes or more.  The
+    first round tests the most typical node of every bucket (that of the
+    fewest shingles of its own) against the others, which settles buckets of
+    copies with one pair per row.  In buckets whose nodes are not one
+    component after that, more nodes, GROWTH times as many in each round, are
+    tested against all nodes of other components and leave the bucket.  Once
+    few pairs of different components remain, all of them are tested.  A pair
+    goes untested only if its nodes are already in one component."""
+    possible = _pairs_possible("z", "zz", percent)
+
+    def pairs_of(met: DataFrame) -> DataFrame:
+        swap = F.col("x") > F.col("y")
+        ends = [F.when(swap, F.col(f)).otherwise(F.col(g)) for f, g in (("y", "x"), ("x", "y"), ("zz.n", "z.n"), ("z.n", "zz.n"))]
+        return met.select(*(c.alias(name) for c, name in zip(ends, ("a", "b", "na", "nb")))).distinct()
+
+    rows = _bounded_rows(buckets, nodes, shingles_of, percent, crowd)
+    best = rows.groupBy("bucket").agg(F.max(F.struct(F.expr("1000 * z.s div z.n").alias("typical"), F.col("node").alias("x"), F.col("z").alias("zz"))).alias("best"))
+    hubs = best.select("bucket", "best.x", "best.zz")
+    met = rows.withColumnRenamed("node", "y").join(hubs, "bucket")
+    edges = kept(verify(pairs_of(met.where(f"x <> y and {possible}").select("x", "y", F.col("zz").alias("z"), F.col("z").alias("zz")))))
+    roots = connected_components(edges)
+    rows, tested = met.where("x <> y").select("bucket", F.col("y").alias("node"), "z"), 1
     while True:
-        parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-        whole = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min(F.struct("n", "component", "node")).alias("rarest"))
-        whole = kept(whole.where("parts > 1").select("bucket", "n", "squares", F.col("rarest.component").alias("hub_component"), F.col("rarest.node").alias("hub")))
-        left = whole.agg(F.sum("n").alias("rows"), F.sum(F.expr("(double(n) * n - squares) / 2")).alias("pairs")).first()
+        rows = rows.join(roots, "node", "left").select("bucket", "node", "z", F.coalesce("component", "node").alias("component"))
+        parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        open_buckets = parts.groupBy("bucket").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("parts")).where("parts > 1")
+        rows = kept(rows.join(open_buckets.select("bucket", "size", "squares"), "bucket"))
+        # every row carries its share of its bucket's pairs of different components
+        left = rows.agg(F.count("*").alias("rows"), F.sum(F.expr("(double(size) * size - squares) / (2 * size)")).alias("pairs")).first()
         if not left["rows"]:
-            break
-        last = edges is not None and left["pairs"] <= PAIRS_PER_ROW * left["rows"] + 10_000
-        if last:
-            open_rows = rows.join(whole.select("bucket", "hub_component"), "bucket")
-            other = open_rows.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = open_rows.join(other, "bucket").where("node < b and component <> other").select(F.col("node").alias("a"), "b")
-        else:
-            pairs = rows.join(whole, "bucket").where("component <> hub_component").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-        found = verify(pairs.distinct())
-        edges = kept(found if edges is None else edges.unionByName(found))
-        roots = kept(connected_components(edges))
+            return roots
+        last = left["pairs"] <= PAIRS_PER_ROW * left["rows"]
+        tested *= GROWTH
+        chosen = rows.withColumn("hub", F.lit(True) if last else F.expr(f"pmod(xxhash64(node, {tested}), size) < {tested}"))
+        first = chosen.where("hub").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"), "z")
+        second = chosen.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"), "hub", F.col("z").alias("zz"))
+        # two chosen nodes meet once
+        met = first.join(second, (first["bucket"] == second["bucket"]) & F.expr(f"cx <> cy and (not hub or x < y) and {possible}"))
+        star = roots.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        roots = connected_components(star.unionByName(verify(pairs_of(met))))
         if last:
             return roots
-        # a hub has met its whole bucket and leaves it
-        rest = rows.join(whole.select("bucket", "hub"), "bucket", "left").where("hub is null or node <> hub").select("bucket", "node")
-        rows = kept(rest.join(roots, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")))
-    if edges is None:
-        return buckets.select("node", F.col("node").alias("component")).where(F.lit(False))
-    return roots
+        rows = chosen.where("not hub").select("bucket", "node", "z")

@@ -22,16 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_buckets
-from .storage import stored
+from .storage import small_batches, stored
+from .worker import cache
 
 BANDS, ROWS = 20, 5  # a pair of similarity 0.85 shares a band but for 1 in 100,000
 UNIVERSE_BITS = 22
 SEED = 29
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 BROADCAST_GONE = 500_000  # dropped rows (16 bytes each) that may be broadcast
+BROADCAST_WANTED = 500_000  # rows of a candidate (some 40 bytes each) that may be broadcast
 RUN = 8192  # shingles whose runs are held at a time
 
-_hashes: dict[bytes, int] = {}
 _pi: dict[int, np.ndarray] = {}
 
 
@@ -48,11 +49,12 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six ASCII spaces only
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    if len(_hashes) > CACHE_WORDS:
-        _hashes.clear()
-    for word in set(words).difference(_hashes):
-        _hashes[word] = xxhash.xxh3_64_intdigest(word)
-    at = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = cache("near_dedup")
+    if len(hashes) > CACHE_WORDS:
+        hashes.clear()
+    for word in set(words).difference(hashes):
+        hashes[word] = xxhash.xxh3_64_intdigest(word)
+    at = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     span = min(width, len(at))
     n = len(at) - span + 1
     total = np.full(n, span, dtype=np.uint64)
@@ -80,8 +82,8 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def similar(left: bytes, right: bytes, percent: int) -> bool:
-    a, b = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two ascending arrays of distinct hashes have the Jaccard similarity."""
     if len(a) > len(b):
         a, b = b, a
     at = np.searchsorted(b, a)
@@ -111,36 +113,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             found.append((len(hashes), digest, band_keys(hashes, bands, rows) if len(hashes) else []))
         return pd.DataFrame(found, columns=["n_shingles", "digest", "bands"])
 
-    @F.pandas_udf("digest binary, hashes binary")
+    @F.pandas_udf("digest binary, hashes array<bigint>")
     def full_set(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingles(t, width).tobytes() for t in texts]
-        return pd.DataFrame({"digest": [hashlib.blake2b(s, digest_size=16).digest() for s in sets], "hashes": sets})
-
-    described = stored(slim.withColumn("d", describe("text")).select("id", F.xxhash64("text").alias("text_hash"), "d.*"), "near-described")
-    classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
-    classes = stored(classes, "near-classes").withColumn("node", F.monotonically_increasing_id())
-    keyed = classes.select("node", F.explode("bands").alias("bucket"))
-    buckets = stored(shared_buckets(keyed), "near-buckets")  # a set's bands differ, so rows are distinct
-    wanted = buckets.select("node").distinct().join(classes.select("node", "digest", "first_id", "n"), "node")
-    texts = slim.join(wanted.withColumnRenamed("digest", "_digest"), F.col("id").eqNullSafe(F.col("first_id")))
-    sets = texts.withColumn("s", full_set("text")).where("s.digest = _digest").select("node", F.col("n").cast("long").alias("n"), F.col("s.hashes").alias("hashes"))
-    sets = stored(sets.dropDuplicates(["node"]), "near-sets")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                yield frame.loc[[similar(x, y, percent) for x, y in zip(frame["x"], frame["y"])], ["a", "b"]]
-
-        sizes = sets.select("node", "n")
-        near = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        near = near.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
-        both = near.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        return both.select("a", "b", "x", "y").mapInPandas(test, "a bigint, b bigint")
-
-    roots = linked_components(buckets, verify)
-    rooted = classes.select("node", "digest", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = stored(rooted.select("digest", "root").join(least, "root").select("digest", "component_id"), "near-components")
+        sets = [shingles(t, width) for t in texts]
+        digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        return pd.DataFrame({"digest": digests, "hashes": [np.sort(s.view(np.int64)) for s in sets]})
+
+    with small_batches(docs.sparkSession):
+        described = stored(slim.withColumn("d", describe("text")).select("id", F.xxhash64("text").alias("text_hash"), "d.*"), "near-described")
+        classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
+        # numbered as they are written: later jobs may split the files otherwise
+        classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+        keyed = classes.select("node", F.explode("bands").alias("bucket"))
+        buckets = stored(shared_buckets(keyed), "near-buckets")  # a set's bands differ, so rows are distinct
+        wanted = buckets.select("node").distinct().join(classes.select("node", F.col("digest").alias("_digest"), "first_id"), "node")
+        wanted = stored(wanted, "near-wanted")
+        small = wanted.count() <= BROADCAST_WANTED
+        texts = slim.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("first_id")))
+        # written first: else the sets of all documents are made below the join
+        texts = stored(texts.select("node", "_digest", "text"), "near-texts")
+        sets = texts.withColumn("s", full_set("text")).where("s.digest = _digest").select("node", F.col("s.hashes").alias("hashes"))
+        sets = stored(sets.dropDuplicates(["node"]), "near-sets")
+
+        def shingles_of(nodes: DataFrame) -> DataFrame:
+            return sets.join(nodes, "node", "left_semi").select("node", F.explode("hashes").alias("shingle"))
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for frame in frames:
+                    yield frame.loc[[similar(x, y, percent) for x, y in zip(frame["x"], frame["y"])], ["a", "b"]]
+
+            both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+            return both.select("a", "b", "x", "y").mapInPandas(test, "a bigint, b bigint")
+
+        sizes = classes.select("node", F.col("n").cast("long").alias("n"))
+        roots = linked_components(buckets, sizes, shingles_of, verify, percent)
+        rooted = classes.select("node", "digest", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("component", "node"))
+        least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        known = stored(rooted.select("digest", "root").join(least, "root").select("digest", "component_id"), "near-components")
     result = described.select("id", "text_hash", "n_shingles", "digest").join(known, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return result.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
