@@ -8,7 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import courtline
-from courtline.session import scratch_path
+from courtline.session import scoped_conf, scratch_path
+
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession):
+    """For jobs run inside the block: Arrow batches of BATCH_ROWS rows, as texts
+    and sets are large and a worker holds a batch several times over."""
+    return scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Let Python workers on this machine import the package from where it lies.
 
