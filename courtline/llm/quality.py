@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .worker import cache
+
 WINDOW = 5
 MIN_DOCS = 100
 BROADCAST_GROUPS = 50_000  # cutoff rows (of at most some 200 bytes) that may be broadcast
@@ -80,6 +82,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf(", ".join(f"{c} bigint" for c in COUNTS))
     def _counts(texts: pd.Series) -> pd.DataFrame:
+        cache("quality")  # holds nothing; frees what other operators have left
         return pd.DataFrame([counts_of(t) for t in texts], columns=list(COUNTS), dtype="int64")
 
     measured = docs.withColumn("_counts", _counts(F.col(text_col)))

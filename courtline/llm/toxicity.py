@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .worker import cache
+
 BITS = 20
 MAX_ROWS = 32_768  # labelled rows that teach
 SHARD_ROWS = 8192
@@ -30,16 +32,15 @@ KINDS = ((0x9E3779B97F4A7C15, 0, 0), (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 1)
 CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
-_hashes: dict[str, int] = {}
-
 
 def _word_hashes(text: str) -> np.ndarray:
     words = _WORD.findall(text.lower())
-    if len(_hashes) > CACHE_WORDS:
-        _hashes.clear()
-    for word in set(words).difference(_hashes):
-        _hashes[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = cache("toxicity")
+    if len(hashes) > CACHE_WORDS:
+        hashes.clear()
+    for word in set(words).difference(hashes):
+        hashes[word] = xxhash.xxh3_64_intdigest(word)
+    return np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def features(text: str | None) -> np.ndarray:

@@ -21,6 +21,8 @@ import sys
 from array import array
 from collections.abc import Callable, Iterator
 
+from .worker import cache
+
 # str.split() also cuts at these four, which the tokenizer does not take as white space
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(r"[^\t-\r \x85\xa0  -     　]+")
@@ -28,7 +30,7 @@ _SPACE = re.compile(r"[\t-\r ]")
 _UNUSUAL = re.compile("[\u0130\u0250-\U0010ffff]")
 
 CHUNK_CHARS = 1 << 18  # text held as a word list at a time
-CACHE_WORDS = 700_000  # words in each of a worker's two generations of cached words
+CACHE_WORDS = 450_000  # words in each of a worker's two generations of cached words
 CACHED_CHARS = 64  # longer words are encoded each time
 
 _tokenizers: dict[str, object] = {}
@@ -120,16 +122,17 @@ class WordCache(dict):
             yield list(map(self.__getitem__, split_words(chunk)))
 
 
-_caches: dict[tuple, WordCache] = {}
+def _cache(key: tuple, path: str, value: Callable[[list[int]], object], known: dict | None = None) -> WordCache:
+    held = cache("words")
+    if key not in held:
+        held.clear()
+        held[key] = WordCache(path, value, known)
+    return held[key]
 
 
 def length_cache(path: str, known: dict[str, int] | None = None, version: object = 0) -> WordCache:
     """Token counts by word; ``known`` (a broadcast table) is never evicted."""
-    key = ("length", path, version)
-    if key not in _caches:
-        _caches.clear()
-        _caches[key] = WordCache(path, len, known)
-    return _caches[key]
+    return _cache(("length", path, version), path, len, known)
 
 
 def _little_endian(ids: list[int]) -> bytes:
@@ -141,8 +144,4 @@ def _little_endian(ids: list[int]) -> bytes:
 
 def id_cache(path: str) -> WordCache:
     """Ids by word, as little-endian unsigned 32-bit bytes."""
-    key = ("ids", path)
-    if key not in _caches:
-        _caches.clear()
-        _caches[key] = WordCache(path, _little_endian)
-    return _caches[key]
+    return _cache(("ids", path), path, _little_endian)
