@@ -74,8 +74,9 @@ def land_response_job(spark: SparkSession, sf_root: str) -> DataFrame:
     """Write raw games as paged API responses, fetch the first twenty days twice
     more (with no rows, then whole), land the newest fetches, stage them."""
     out, source = scratch_path(spark, "responses"), scratch_path(spark, "source")
-    write_partitions(chain.raw(spark, sf_root, "games"), source)
-    games = raw.raw_scan(spark, source)
+    games = chain.raw(spark, sf_root, "games")
+    games.write.parquet(source)
+    games = spark.read.schema(games.schema).parquet(source)
     days = [r[0] for r in games.select("partition_date").distinct().orderBy("partition_date").take(20)]
     raw.write_responses(games, out, "0000")
     raw.write_responses(games.where(F.lit(False)), out, "0001", days=days)

@@ -94,19 +94,22 @@ def read_staging(spark: SparkSession, staging_root: str, table: str) -> DataFram
 
 def incremental_staging_job(spark: SparkSession, sf_root: str) -> DataFrame:
     """Land and stage raw games in four steps, staging only what is pending:
-    every day with no home scores yet; all days again, complete; the first twenty
-    days emptied; and these landed again. The result is the
+    all days, of which the first twenty have no home scores yet; these again,
+    complete; these emptied; and these landed once more. The result is the
     staging table, which must hold the last landing of every day."""
     base = scratch_path(spark, "staging")
     raw_root, staging_root, source = (os.path.join(base, n) for n in ("raw", "staging", "source"))
-    write_partitions(chain.raw(spark, sf_root, "games"), source)
-    games = raw.raw_scan(spark, source)
-    days = [r[0] for r in games.select("partition_date").distinct().collect()]  # one per day
-    first = sorted(days)[:20]
-    early = games.withColumn("data", F.regexp_replace("data", '("home_team_score":)[0-9]+', "$10"))
+    games = chain.raw(spark, sf_root, "games")
+    games.write.parquet(source)
+    games = spark.read.schema(games.schema).parquet(source)
+    days = games.select("partition_date").distinct().orderBy("partition_date")
+    first = [r[0] for r in days.take(20)]
+    open_day = F.col("partition_date").isin(first)
+    unknown = F.regexp_replace("data", '("home_team_score":)[0-9]+', "$10")
+    early = games.withColumn("data", F.when(open_day, unknown).otherwise(F.col("data")))
     path = os.path.join(raw_root, "games")
-    again = games.where(F.col("partition_date").isin(first))
-    for rows, replaced in ((early, None), (games, None), (games.where(F.lit(False)), first), (again, None)):
+    again = games.where(open_day)
+    for rows, replaced in ((early, None), (again, None), (games.where(F.lit(False)), first), (again, None)):
         write_partitions(rows, path, days=replaced)
         build_staging(spark, raw_root, staging_root, "games", pending_days(spark, raw_root, staging_root, "games"))
     return read_staging(spark, staging_root, "games")

@@ -55,13 +55,6 @@ def start_landing(
     return writer.start()
 
 
-def stored_raw(spark: SparkSession, rows: DataFrame, base: str) -> DataFrame:
-    """Raw rows kept by day, so that each arrival reads its days only."""
-    path = os.path.join(base, "source")
-    write_partitions(rows, path)
-    return raw.raw_scan(spark, path)
-
-
 def stream_landing_job(spark: SparkSession, sf_root: str) -> DataFrame:
     """Four arrivals of response files, each landed by one availableNow run of
     the same stream: even days and odd days; then the first twenty even days
@@ -72,7 +65,8 @@ def stream_landing_job(spark: SparkSession, sf_root: str) -> DataFrame:
     ckpt = os.path.join(base, "_checkpoint")
     games = chain.raw(spark, sf_root, "games")
     parity = F.pmod(F.unix_date("partition_date"), F.lit(2))
-    games = stored_raw(spark, games, base)
+    games.write.parquet(os.path.join(base, "source"))
+    games = spark.read.schema(games.schema).parquet(os.path.join(base, "source"))
     days = games.where(parity == 0).select("partition_date").distinct().orderBy("partition_date")
     early = [r[0] for r in days.take(20)]
     arrivals = [(parity == 0, None), (parity == 1, None), (F.lit(False), early), (F.col("partition_date").isin(early), None)]
