@@ -56,13 +56,11 @@ def main() -> None:
     spark = build_session("courtline-plans", master="local[8]", shuffle_partitions=8)
     lines = ["# Physical plans of the headline queries", "",
              f"Generated by `tools/explain_plans.py` on `{root}` (initial AQE plans).", "",
-             "Reading notes: `Exchange SinglePartition` here is either the final step of a",
-             "one-row global aggregate (one partial row per task reaches it) or the window",
-             "over a checkpointed table whose row count was proven small (ranks). The",
-             "SortMergeJoins join computed, already-aggregated inputs; AQE switches them to",
-             "broadcasts from run-time sizes. Dimension tables read from files are",
-             "broadcast only after their row count is checked. The two report plans start",
-             "from the checkpoint taken by the rank operator.", ""]
+             "Reading notes: `Exchange SinglePartition` here is the final step of a one-row",
+             "global aggregate (one partial row per task reaches it). The SortMergeJoins",
+             "join computed, already-aggregated inputs; AQE switches them to broadcasts from",
+             "run-time sizes. No broadcast is forced. The rank plans start from the",
+             "checkpoints taken by the rank operator; `for_day` reads staging kept by day.", ""]
     for key in KEYS:
         df = QUERIES[key](spark, root)
         buf = io.StringIO()
