@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtline.session import checkpoint_root
+
 from .worker import cache
 
 WINDOW = 5
@@ -98,7 +100,7 @@ def _bucket(value: str) -> str:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """level, lang, source, rule, bucket, n over the rows that did not fail the base rules."""
+    """lang, source, rule, bucket, n over the rows that did not fail the base rules."""
     rules = F.explode(F.array(*(F.struct(F.lit(k).alias("rule"), F.expr(f"bigint({r[0]})").alias("v")) for k, r in RULES.items())))
     rows = measured.where(~F.col("base_failed")).select("lang", "source", rules.alias("x"))
     finest = rows.groupBy("lang", "source", F.col("x.rule").alias("rule"), F.expr(_bucket("x.v")).alias("bucket")).agg(F.count("*").alias("n"))
@@ -107,7 +109,8 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 def cutoffs(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, source (one row per pair) and the lower and upper bound of each rule."""
-    finest = sketches(measured)
+    checkpoint_root(measured.sparkSession)
+    finest = sketches(measured).checkpoint()  # a few hundred buckets per group: the texts are read once
     wider = finest.groupBy("lang", "rule", "bucket").agg(F.sum("n").alias("n"))
     widest = wider.groupBy("rule", "bucket").agg(F.sum("n").alias("n"))
 
@@ -125,9 +128,9 @@ def cutoffs(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
     pair = fences(finest, ["lang", "source"], "pair")
     lang = fences(wider, ["lang"], "lang").withColumnRenamed("lang", "l_lang")
-    every = fences(widest, [], "all")
+    whole = fences(widest, [], "all").first().asDict()  # one row
     joined = pair.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
-    joined = joined.withColumn("one", F.lit(1)).join(F.broadcast(every.withColumn("one", F.lit(1))), "one", "left")  # one row
+    joined = joined.withColumns({name: F.lit(value).cast("long") for name, value in whole.items()})
     chosen = ["lang", "source"]
     for bound in [x for r, (_, lo, _hi) in RULES.items() for x in ([f"{r}_lo"] if lo is not None else []) + [f"{r}_hi"]]:
         chosen.append(F.expr(f"case when total_pair >= {min_docs} then {bound}_pair when total_lang >= {min_docs} then {bound}_lang when total_all >= {min_docs} then {bound}_all end").alias(bound))
