@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import linked_components, shared_buckets
+from .components import kept, linked_components, shared_buckets
 from .storage import small_batches, stored
 from .worker import cache
 
@@ -143,7 +143,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
                 for frame in frames:
                     yield frame.loc[[similar(x, y, percent) for x, y in zip(frame["x"], frame["y"])], ["a", "b"]]
 
-            both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+            pairs = kept(pairs)
+            met = kept(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+            few = met.count() <= BROADCAST_WANTED
+            # only the sets of the pairs' nodes are shuffled
+            used = sets.join(F.broadcast(met) if few else met, "node", "left_semi")
+            both = pairs.join(used.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(used.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
             return both.select("a", "b", "x", "y").mapInPandas(test, "a bigint, b bigint")
 
         sizes = classes.select("node", F.col("n").cast("long").alias("n"))
