@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .components import linked_components, shared_buckets
 from .storage import stored
 
-WIDTH = 10
+WIDTH = 5
 COORDINATES = 16
 PERCENT = 80
 #: A match takes one character; its group is the shingle that begins there.

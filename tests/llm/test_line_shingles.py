@@ -31,3 +31,15 @@ def test_every_letter_of_a_run_counts(spark, monkeypatch):
     rows = [(n, line, None, None) for n, line in enumerate(x for pair in pairs for x in pair)]
     got = check_lines(spark.createDataFrame(rows, SCHEMA), monkeypatch)
     assert sum(r.n_dropped for r in got) == 0
+
+
+def test_short_lines_with_one_letter_changed(spark, monkeypatch):
+    lines = [
+        "the committee will publish its annual report on water supply next spring",
+        "most of the old houses along the river were built before the railway came",
+        "please bring your own cups and plates as the kitchen is closed on sundays",
+    ]
+    rows = [(n, line, None, None) for n, line in enumerate(lines)]
+    rows += [(10 + n, line[:40] + "#" + line[41:], None, None) for n, line in enumerate(lines)]
+    got = check_lines(spark.createDataFrame(rows, SCHEMA), monkeypatch)
+    assert sorted(r.doc_id for r in got if r.n_dropped) == [10, 11, 12]
