@@ -11,6 +11,8 @@ ids as they are: a full stop or comma behind a letter is a pre-token of its
 own; below U+0250 (without U+0130) a letter is its own composed form and has
 one lower-case letter, so such words are kept in lower case, and if they are
 letters only they are one pre-token, which the model can encode directly.
+The added tokens are matched in the text as it stands, so a word that holds
+one in any case is encoded whole.
 """
 
 from __future__ import annotations
@@ -82,6 +84,8 @@ class WordCache(dict):
         self.value, self.known, self.old = value, known or {}, {}
         self.tokenizer = tokenizer(path)
         self.direct = False
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = os.path.commonprefix(self.added)
         if type(self.tokenizer.model).__name__ == "BPE":
             self.model = self.tokenizer.model
             self.direct = all(self._model_ids(w) == self._ids(w) for w in _PROBES)
@@ -100,8 +104,11 @@ class WordCache(dict):
             core, usual = word, word.isascii() or not _UNUSUAL.search(word)
             if len(word) > 1 and word[-1] in ".," and word[-2].isalpha() and word[-2] != "\u0130":
                 core = word[:-1]
-            if usual:
-                core = core.lower()
+            if usual and core != (low := core.lower()):
+                if self.mark in low and any(x in low for x in self.added):
+                    usual = False
+                else:
+                    core = low
             if core is not word and core != word:
                 value = self[core]
                 if len(core) < len(word):

@@ -32,6 +32,16 @@ def test_words_encode_as_the_library_does():
         assert sum(map(sum, length_cache(PATH).values_of(text))) == len(got)
 
 
+def test_special_strings_in_other_case_are_text():
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|StartOfText|>", "<|startoftext|>", "a", "B", ".", ",", " ", "<|"]
+    for _ in range(500):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 6)))
+        got = array("I", b"".join(b"".join(x) for x in id_cache(PATH).values_of(text)))
+        assert list(got) == ids_of(text), repr(text)
+        assert sum(map(sum, length_cache(PATH).values_of(text))) == len(got)
+
+
 def check_counts(docs):
     rows = token_counts(docs, PATH).select("text", "n_bytes", "n_tokens", "over_limit").collect()
     assert len(rows) == docs.count()
