@@ -4,6 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 import __spark_entry__ as entry
+from courtline.llm.near_dedup import BANDS, ROWS
 from courtline.llm.queries import ORACLE, QUERIES
 from courtline.llm.storage import stored
 from tests.llm.test_dedup import brute_lines, brute_near
@@ -59,3 +60,11 @@ def test_stages_of_odd_and_empty_documents(spark, odd, none):
     for docs in (odd, none):
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, SF), "test-odd")
+
+
+def test_near_dedup_stage_misses_few_pairs_at_its_threshold(spark, monkeypatch):
+    given = {}
+    monkeypatch.setattr(corpus_pipeline, "drop_near_duplicates", lambda docs, **parameters: given.update(parameters))
+    corpus_pipeline.drop_copies(spark, None, SF)
+    bands, rows = given.get("bands", BANDS), given.get("rows", ROWS)
+    assert (1 - (given["percent"] / 100) ** rows) ** bands <= 1e-5
