@@ -4,14 +4,18 @@ import regex
 
 from courtline.llm import line_dedup
 from courtline.llm.line_dedup import dedup_lines
-from tests.llm import test_dedup
+from tests.llm import test_dedup, test_pipeline
 from tests.llm.conftest import SCHEMA
 
 
-def check_lines(docs, monkeypatch):
-    """Rows of ``dedup_lines``, held against brute force."""
+def whole_lines(monkeypatch):
     width = line_dedup.WIDTH
     monkeypatch.setattr(test_dedup, "SHINGLE", regex.compile(r"(?s)(?=(.{%d}|\A.{1,%d}\Z))." % (width, width - 1)))
+
+
+def check_lines(docs, monkeypatch):
+    """Rows of ``dedup_lines``, held against brute force."""
+    whole_lines(monkeypatch)
     got = dedup_lines(docs).select("doc_id", "text", "n_lines", "n_dropped").collect()
     assert sorted(map(tuple, got), key=str) == test_dedup.brute_lines([(r.doc_id, r.text) for r in docs.collect()])
     return got
@@ -43,3 +47,8 @@ def test_short_lines_with_one_letter_changed(spark, monkeypatch):
     rows += [(10 + n, line[:40] + "#" + line[41:], None, None) for n, line in enumerate(lines)]
     got = check_lines(spark.createDataFrame(rows, SCHEMA), monkeypatch)
     assert sorted(r.doc_id for r in got if r.n_dropped) == [10, 11, 12]
+
+
+def test_pipeline_stages(spark, monkeypatch):
+    whole_lines(monkeypatch)
+    test_pipeline.test_stages_against_brute_force(spark)
