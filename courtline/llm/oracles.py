@@ -5,6 +5,8 @@ links by MinHash and join them by an iterated union-find, op7 cuts a graph
 per page and op10 learns: these are tested against brute force instead.
 """
 
+from .merkle_sql import MERKLE
+
 EXACT_DEDUP = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
@@ -91,4 +93,5 @@ ORACLE = {
     "op5_exact_dedup": EXACT_DEDUP,
     "op8_chat_format": CHAT_FORMAT,
     "op9_quality_rules": QUALITY_RULES,
+    "op13_merkle_manifest": MERKLE,
 }

@@ -17,6 +17,7 @@ from .chat_format import TOOLS, format_chat, with_tools
 from .exact_dedup import exact_dedup
 from .html_extract import extract
 from .line_dedup import dedup_lines
+from .merkle import manifest
 from .mixing import plan
 from .near_dedup import near_duplicates
 from .oracles import ORACLE  # noqa: F401
@@ -101,3 +102,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = format_chat(with_tools(table(spark, sf_dir, "conversations")), TOOLS)
     return events.withColumn("problems", F.array_join("problems", "; "))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents")).drop("path")
