@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .chat_format import TOOLS, format_chat, with_tools
 from .exact_dedup import exact_dedup
 from .html_extract import extract
+from .licenses import scan, summary
 from .line_dedup import dedup_lines
 from .merkle import manifest
 from .mixing import plan
@@ -107,3 +108,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents")).drop("path")
+
+
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = summary(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
