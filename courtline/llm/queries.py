@@ -27,6 +27,7 @@ from .quality import quality_rules
 from .storage import importable, table
 from .token_counts import token_counts
 from .toxicity import toxicity
+from .turn_repair import repair_damaged
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -114,3 +115,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = summary(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
