@@ -435,6 +435,12 @@ FROM alerts""",
 UNION ALL SELECT 'player_stats', count(*), min(game_date), max(game_date) FROM stg_player_stats
 UNION ALL SELECT 'team_stats', count(*), min(stat_date), max(stat_date) FROM stg_team_stats""",
     ),
+    "day_log": _with(
+        STG_GAMES + "," + STG_PLAYER_STATS + "," + STG_TEAM_STATS,
+        """SELECT 'games' AS table_name, game_date AS partition_date, count(*) AS record_count FROM stg_games GROUP BY game_date
+UNION ALL SELECT 'player_stats', game_date, count(*) FROM stg_player_stats GROUP BY game_date
+UNION ALL SELECT 'team_stats', stat_date, count(*) FROM stg_team_stats GROUP BY stat_date""",
+    ),
 })
 
 ORACLE["watchlist_document"] = ORACLE["watchlist_alerts"]

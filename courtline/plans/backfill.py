@@ -8,31 +8,35 @@ kept by day; a run then reads the folders of its days (a partition filter).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.operators.partitions import DEFAULT_BATCH_DAYS, backfill_batches, partition_calendar
 from courtline.plans import chain, marts
 from courtline.plans.materialize import build_staging, read_staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import append_load_log, clear_partitions, table_files, write_partitions
+from courtline.sinks.tables import append_load_log, write_partitions
 from courtline.sources import raw
 
 
 def plan_runs(source: DataFrame, batch_days: int = DEFAULT_BATCH_DAYS) -> list[list]:
     """The days of ``source`` split into runs of at most ``batch_days``
     calendar days (one list entry per day of the calendar)."""
-    return [[d for d, _ in run] for run in _runs_with_rows(source, batch_days)]
+    cal = backfill_batches(partition_calendar(source, "partition_date"), batch_days=batch_days)
+    runs = cal.groupBy("batch_id").agg(F.sort_array(F.collect_list("day")).alias("days"))
+    return [r.days for r in runs.orderBy("batch_id").collect()]
 
 
-def _runs_with_rows(source: DataFrame, batch_days: int) -> list[list[tuple]]:
-    cal = backfill_batches(partition_calendar(source, "partition_date"), batch_days=batch_days)
-    runs = cal.groupBy("batch_id").agg(
-        F.sort_array(F.collect_list(F.struct("day", "rows"))).alias("days")
-    )
-    return [[(x.day, x.rows) for x in r.days] for r in runs.orderBy("batch_id").collect()]
+def split_runs(days: list, batch_days: int = DEFAULT_BATCH_DAYS) -> list[list]:
+    """``plan_runs`` of the calendar from the first to the last of ``days``."""
+    if not days:
+        return []
+    first, last = min(days), max(days)
+    calendar = [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+    return [calendar[at : at + batch_days] for at in range(0, len(calendar), batch_days)]
 
 
 def backfill(
@@ -47,19 +51,13 @@ def backfill(
     runs. Every calendar day of a run is replaced, so a day without rows in
     the source is emptied if the table holds it."""
     path = scratch_path(spark, "backfill-source")
-    write_partitions(source, path)
-    kept = raw.raw_scan(spark, path)
-    runs = _runs_with_rows(kept, batch_days)
-    held = {r["day"] for r in table_files(spark, table_path).select("day").distinct().collect()}  # one per day
-    for i, run in enumerate(runs):
-        days = [d for d, n in run if n]
-        obs = Observation(f"{table_name}_run_{i}")
-        rows = kept.where(F.col("partition_date").isin(days))
-        write_partitions(rows, table_path, observation=obs if log_path else None)
-        # the calendar has counted the rows of each day
-        clear_partitions(spark, table_path, [d.isoformat() for d, n in run if n == 0 and d in held], rows.schema)
+    counted = write_partitions(source, path)
+    runs = split_runs([d for d in counted if d], batch_days)
+    for run in runs:
+        # a day that the table holds and the source does not is emptied in the same commit
+        counts = write_partitions(raw.raw_scan(spark, path, days=run), table_path, days=run)
         if log_path:
-            append_load_log(spark, log_path, table_name, table_path, obs)
+            append_load_log(spark, log_path, table_name, table_path, counts)
     return len(runs)
 
 

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtline.plans import chain, staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import LOAD_LOG_SCHEMA, append_load_log, replace_table, write_document, write_partitions
+from courtline.sinks.tables import DAY_LOG_DDL, LOAD_LOG_SCHEMA, append_load_log, replace_table, write_document, write_partitions
 from courtline.sources import files, raw
 from courtline.sources.adapters import team_payroll
 
@@ -28,12 +28,10 @@ PAYROLL_SCHEMA = T.StructType(
 )
 
 
-def land_raw(spark: SparkSession, sf_root: str, out_root: str, table: str,
-             observation: Observation | None = None) -> str:
-    """Write one raw table in ``partition_date=`` folders; returns its path."""
+def land_raw(spark: SparkSession, sf_root: str, out_root: str, table: str) -> tuple[str, dict]:
+    """Land one raw table; returns its path and the rows of each day."""
     path = os.path.join(out_root, table)
-    write_partitions(chain.raw(spark, sf_root, table), path, observation=observation)
-    return path
+    return path, write_partitions(chain.raw(spark, sf_root, table), path)
 
 
 def raw_scan_job(spark: SparkSession, sf_root: str) -> DataFrame:
@@ -62,7 +60,7 @@ def partition_replace_job(spark: SparkSession, sf_root: str) -> DataFrame:
     """Land games twice (the re-run must change nothing), then replace the
     first day by an empty load; stg_games over what is stored."""
     out = scratch_path(spark, "replace")
-    path = land_raw(spark, sf_root, out, "games")
+    path, _ = land_raw(spark, sf_root, out, "games")
     land_raw(spark, sf_root, out, "games")
     first = raw.raw_scan(spark, path).agg(F.min("partition_date")).first()[0]
     empty = spark.createDataFrame([], raw.RAW_SCHEMA)
@@ -110,13 +108,23 @@ def changed_files_job(spark: SparkSession, sf_root: str) -> DataFrame:
     return rows.groupBy("tick", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
-def load_log_job(spark: SparkSession, sf_root: str) -> DataFrame:
-    """Land the three raw tables, logging record count and day range of each."""
+def _logged_loads(spark: SparkSession, sf_root: str) -> str:
+    """Land the three raw tables; returns the load log's path."""
     out = scratch_path(spark, "logged")
     log = os.path.join(out, "_load_log")
     for table in raw.RAW_TABLES:
-        obs = Observation(f"load_{table}")
-        path = land_raw(spark, sf_root, out, table, observation=obs)
-        append_load_log(spark, log, table, path, obs)
-    logged = spark.read.schema(LOAD_LOG_SCHEMA).parquet(log)
+        path, counts = land_raw(spark, sf_root, out, table)
+        append_load_log(spark, log, table, path, counts)
+    return log
+
+
+def load_log_job(spark: SparkSession, sf_root: str) -> DataFrame:
+    """Land the three raw tables, logging record count and day range of each."""
+    logged = spark.read.schema(LOAD_LOG_SCHEMA).parquet(_logged_loads(spark, sf_root))
     return logged.select("table_name", "record_count", "first_partition", "last_partition")
+
+
+def day_log_job(spark: SparkSession, sf_root: str) -> DataFrame:
+    """Land the three raw tables, logging the records of each day."""
+    logged = spark.read.schema(DAY_LOG_DDL).parquet(_logged_loads(spark, sf_root) + "_days")
+    return logged.select("table_name", "partition_date", "record_count")

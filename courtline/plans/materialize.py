@@ -9,7 +9,6 @@ marts stay full-history over the staging tables.
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 from collections.abc import Iterable
 
@@ -17,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.plans import chain, staging
-from courtline.session import checkpoint_root, scratch_path
-from courtline.sinks.tables import path_exists, table_files, write_partitions
+from courtline.session import scratch_path
+from courtline.sinks import manifest
+from courtline.sinks.tables import read_partitions, write_partitions
 from courtline.sources import raw
 
 STAGING_MODELS = {
@@ -28,68 +28,44 @@ STAGING_MODELS = {
 }
 
 
-def raw_versions(spark: SparkSession, raw_root: str, table: str) -> DataFrame:
-    """``(day, version)`` of a raw table: a day's version names its files, which
-    get new names whenever the day is landed. From the listing alone."""
-    files = table_files(spark, os.path.join(raw_root, table))
-    named = files.select("day", F.struct(F.regexp_extract("path", r"([^/]+)$", 1).alias("n"), "mtime", "length").alias("f"))
-    return named.groupBy("day").agg(F.bit_xor(F.xxhash64("f")).alias("version"))
-
-
-def _versions_path(staging_root: str, table: str) -> str:
-    return os.path.join(staging_root, f"{table}_versions")
-
-
-def staged_versions(spark: SparkSession, staging_root: str, table: str) -> DataFrame:
-    """``(day, version)``: the raw version that each staged day was parsed from."""
-    path = _versions_path(staging_root, table)
-    if not path_exists(spark, path):  # nothing staged yet
-        return spark.createDataFrame([], "day date, version long")
-    log = spark.read.schema("day date, version long, staged_at timestamp").parquet(path)
-    newest = log.groupBy("day").agg(F.max_by("version", "staged_at").alias("version"))
-    return newest.where("version is not null")
-
-
 def pending_days(spark: SparkSession, raw_root: str, staging_root: str, table: str) -> list:
-    """Days whose raw version is not the staged one: landed, landed again, or
-    gone from the raw table (the list has one entry per day)."""
-    landed = raw_versions(spark, raw_root, table).withColumnRenamed("version", "landed")
-    staged = staged_versions(spark, staging_root, table).withColumnRenamed("version", "staged")
-    both = landed.join(staged, "day", "full_outer")
-    return sorted(r.day for r in both.where(~F.col("landed").eqNullSafe(F.col("staged"))).select("day").collect())
+    """Days whose newest raw write is not the one they were staged from: landed,
+    landed again, or emptied. From the two manifests alone, which have a row per day."""
+    landed = manifest.entries(spark, os.path.join(raw_root, table)).select("day", "write")
+    staged = manifest.entries(spark, os.path.join(staging_root, table)).select("day", "source")
+    both = landed.join(staged, "day", "left").where(~F.col("write").eqNullSafe(F.col("source")))
+    return sorted(r.day for r in both.select("day").collect())
 
 
 def build_staging(
     spark: SparkSession, raw_root: str, staging_root: str, table: str, days: Iterable | None = None
-) -> None:
+) -> dict:
     """Parse ``days`` (all days when None) of a raw table into its typed
-    staging table; the raw scan is pruned to those day folders, and only
-    those staging days are replaced. A requested day without raw rows is
-    emptied. The raw versions are noted before the parse, so a day landed
-    meanwhile is pending again."""
+    staging table, and return the rows of each staged day; the raw scan is pruned
+    to those day folders, and only those staging days are replaced. A requested day
+    without raw rows is emptied.
+
+    All is read from one version of the raw table, and the raw write behind each
+    staged day is committed with its rows: a day landed meanwhile is pending
+    again, and a run that is killed has staged all of its days or none. A raw table
+    without a manifest has no such notes; its days are staged as asked."""
     model, date_col = STAGING_MODELS[table]
-    source = raw.raw_scan(spark, os.path.join(raw_root, table))
-    target = os.path.join(staging_root, table)
-    checkpoint_root(spark)
-    versions = raw_versions(spark, raw_root, table)
+    raw_path = os.path.join(raw_root, table)
+    version = manifest.newest(spark, raw_path)
+    held = {r["day"]: r["write"] for r in manifest.entries(spark, raw_path, version).collect()}  # a row per day
     if days is not None:
-        days = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in days]
+        days = manifest.day_list(days)
         if not days:
-            return
-        source = source.where(F.col("partition_date").isin(days))
-        asked = spark.createDataFrame([(d,) for d in days], "day date")
-        versions = asked.join(versions, "day", "left")
-    versions = versions.checkpoint(eager=True)
-    write_partitions(model(source), target, col=date_col, days=days)
-    noted = versions.withColumn("staged_at", F.current_timestamp())
-    noted.coalesce(1).write.mode("append").parquet(_versions_path(staging_root, table))
+            return {}
+    source = raw.raw_scan(spark, raw_path, version, days)
+    days = sorted(d for d in held if d) if days is None else days
+    return write_partitions(model(source), os.path.join(staging_root, table), col=date_col, days=days, sources=held)
 
 
 def read_staging(spark: SparkSession, staging_root: str, table: str) -> DataFrame:
-    model, _ = STAGING_MODELS[table]
-    stored = spark.read.parquet(os.path.join(staging_root, table))
-    # keep the model's column order (the partition column is read last)
-    return stored.select(*model(spark.createDataFrame([], raw.RAW_SCHEMA)).columns)
+    model, date_col = STAGING_MODELS[table]
+    schema = model(spark.createDataFrame([], raw.RAW_SCHEMA)).schema
+    return read_partitions(spark, os.path.join(staging_root, table), schema, date_col)
 
 
 def incremental_staging_job(spark: SparkSession, sf_root: str) -> DataFrame:

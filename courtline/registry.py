@@ -225,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "sheet_ingest": landing.sheet_ingest_job,
     "changed_files": landing.changed_files_job,
     "load_log": landing.load_log_job,
+    "day_log": landing.day_log_job,
     "stream_landing": stream_landing_job,
     "incremental_staging": incremental_staging_job,
     "backfill_runs": backfill_job,

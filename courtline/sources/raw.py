@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from courtline.functions.json import RESPONSE_DDL, parse_json
 from courtline.session import scoped_conf
-from courtline.sinks.tables import SMALL_WRITE_CONF
+from courtline.sinks import manifest
+from courtline.sinks.tables import SMALL_WRITE_CONF, listing, read_partitions
 
 RAW_SCHEMA = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("partition_date", T.DateType())]
@@ -23,26 +24,26 @@ RAW_SCHEMA = T.StructType(
 RESPONSE_SCHEMA = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("partition_date", T.DateType())]
 )
-LISTING_DDL = (
-    "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY, partition_date DATE, fetch_id STRING"
-)
 FETCH_SCHEMA = T.StructType([*RESPONSE_SCHEMA.fields, T.StructField("fetch_id", T.StringType())])
 RAW_TABLES = ("games", "player_stats", "team_stats")
 # Records per landed response page (the API's page size).
 RESPONSE_PAGE_ROWS = 100
 
 
-def raw_scan(spark: SparkSession, table_path: str) -> DataFrame:
-    """All days of one raw table as ``(partition_date, data)``.
+def raw_scan(spark: SparkSession, table_path: str, version: manifest.Version | None = None, days: Iterable | None = None) -> DataFrame:
+    """All days (or ``days``) of one raw table as ``(partition_date, data)``.
 
     The schema is fixed, so no file is opened to infer it, and a filter on
-    ``partition_date`` prunes folders (PartitionFilters) before any read."""
-    return (
-        spark.read.schema(RAW_SCHEMA)
-        .option("basePath", table_path)
-        .parquet(table_path)
-        .select("partition_date", "data")
-    )
+    ``partition_date`` prunes folders (PartitionFilters) before any read. A
+    table without a manifest, landed by other means, is read as its
+    ``partition_date=`` folders hold it."""
+    version = version or manifest.newest(spark, table_path)
+    if version.manifest is not None:
+        return read_partitions(spark, table_path, RAW_SCHEMA, version=version, days=days).select("partition_date", "data")
+    with listing(spark):
+        rows = spark.read.schema(RAW_SCHEMA).option("basePath", table_path).parquet(table_path)
+    rows = rows if days is None else rows.where(F.col("partition_date").isin(manifest.day_list(days)))
+    return rows.select("partition_date", "data")
 
 
 def register_raw(spark: SparkSession, root: str, tables=RAW_TABLES, prefix: str = "raw_") -> list[str]:
@@ -102,11 +103,11 @@ def responses_to_raw(lines: DataFrame) -> DataFrame:
     )
 
 
-def newest_fetches(spark: SparkSession, path: str) -> DataFrame:
-    """``(partition_date, fetch_id)`` of each day's newest fetch, from the file
-    listing alone."""
-    listed = spark.read.format("binaryFile").schema(LISTING_DDL).load(path)
-    return listed.groupBy("partition_date").agg(F.max("fetch_id").alias("fetch_id"))
+def listed_responses(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, partition_date[, fetch_id])`` of the response files, from one listing;
+    the folder columns are text, as fetch ids may look like numbers."""
+    with listing(spark), scoped_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        return spark.read.format("binaryFile").load(path).drop("content")
 
 
 def land_response(spark: SparkSession, path: str) -> DataFrame:
@@ -115,21 +116,31 @@ def land_response(spark: SparkSession, path: str) -> DataFrame:
 
     Where the days hold ``fetch_id=`` folders, the newest fetch of a day
     replaces its earlier ones; its files, whatever their names, all count.
-    Files that lie in a day's folder itself are one fetch."""
-    lines = spark.read.schema(RESPONSE_SCHEMA).text(path)
-    if path_has_fetches(spark, path):
+    Files that lie in a day's folder itself are one fetch. All days of a
+    folder must have the same layout."""
+    files = listed_responses(spark, path)
+    if "fetch_id" not in files.columns:
+        with listing(spark):
+            return responses_to_raw(spark.read.schema(RESPONSE_SCHEMA).text(path))
+    newest = files.groupBy(F.col("partition_date").cast("date").alias("partition_date")).agg(F.max("fetch_id").alias("fetch_id"))
+    with listing(spark):
         lines = spark.read.schema(FETCH_SCHEMA).text(path)
-        lines = lines.join(newest_fetches(spark, path), ["partition_date", "fetch_id"], "left_semi")
+    lines = lines.join(newest, ["partition_date", "fetch_id"], "left_semi")
     return responses_to_raw(lines.select("value", "partition_date"))
 
 
-def days_of_responses(spark: SparkSession, path: str) -> DataFrame:
-    """``(partition_date)``: the days that have response files, from the listing."""
-    return spark.read.format("binaryFile").load(path).select(F.col("partition_date").cast("date").alias("partition_date")).distinct()
+def land_fetches(spark: SparkSession, path: str, fetches: dict) -> DataFrame:
+    """The raw rows of one fetch per day (``fetches``: day -> fetch id); only the
+    folders of these fetches are listed and read."""
+    folders = [f"{path}/partition_date={day}/fetch_id={fetch}" for day, fetch in sorted(fetches.items())]
+    with listing(spark):
+        lines = spark.read.schema(FETCH_SCHEMA).option("basePath", path).text(folders)
+    return responses_to_raw(lines.select("value", "partition_date"))
 
 
-def path_has_fetches(spark: SparkSession, path: str) -> bool:
-    return "fetch_id" in spark.read.format("binaryFile").load(path).columns
+def days_of_responses(spark: SparkSession, path: str) -> DataFrame:
+    """``(partition_date)``: the days that have response files, from the listing."""
+    return listed_responses(spark, path).select(F.col("partition_date").cast("date").alias("partition_date")).distinct()
 
 
 # Fixed sheet layouts (header names and types of the known sheets).

@@ -1,16 +1,15 @@
 """Incremental landing of new API response files with Structured Streaming.
 
 A file stream over the response folder sees each new file once (the stream's
-checkpoint remembers the files it has processed). ``foreachBatch`` parses the
-batch's responses and replaces the batch's days in the raw table, so a
-re-fetched day (new files for the same day) replaces that day, and a restart
-after a failure re-runs the uncommitted batch idempotently.
+checkpoint remembers the files it has processed). ``foreachBatch`` lands the
+days that the batch touches; their commit to the raw table's manifest
+also notes each day's fetch, and this is the stream's state: an older fetch
+that arrives late is ignored, a newer one replaces its day, all in one commit.
 
-A micro-batch may hold only some of a day's response files (e.g. under
-``maxFilesPerTrigger``), so a batch does not land its own rows: it takes the
-list of days it touched and re-reads those days' complete response folders
-(a partition-pruned batch read) before replacing the days. A re-fetched day
-is a further ``fetch_id=`` folder of the day, of which the newest counts.
+A micro-batch may hold only some of a fetch's response files (e.g. under
+``maxFilesPerTrigger``), so a batch does not land its own rows: it reads the
+folders of the newest fetches of the days it touched, and no others. A
+restart after a failure re-runs the uncommitted batch with the same result.
 """
 
 from __future__ import annotations
@@ -22,7 +21,8 @@ from pyspark.sql import functions as F
 
 from courtline.plans import chain, staging
 from courtline.session import scratch_path
-from courtline.sinks.tables import write_partitions
+from courtline.sinks import manifest
+from courtline.sinks.tables import listing, write_partitions
 from courtline.sources import raw
 
 
@@ -39,20 +39,23 @@ def start_landing(
     reader = spark.readStream.format("text").schema(raw.FETCH_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(responses_dir)
+    with listing(spark):
+        stream = reader.load(responses_dir)
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        arrived = batch.groupBy("partition_date").agg(F.max("fetch_id").alias("fetch_id"))
+        known = manifest.entries(spark, table_path).select(F.col("day").alias("partition_date"), "source")
+        current = arrived.join(F.broadcast(known), "partition_date", "left").where("source is null or fetch_id >= source")
         # one entry per touched day (bounded by the calendar)
-        days = [r[0] for r in batch.select("partition_date").distinct().collect()]
-        if not days:
-            return
-        current = raw.land_response(spark, responses_dir).where(F.col("partition_date").isin(days))
-        # a day whose newest fetch is empty is emptied
-        write_partitions(current, table_path, days=days)
+        fetches = {r["partition_date"]: r["fetch_id"] for r in current.collect()}
+        if fetches:
+            # a day whose newest fetch is empty is emptied
+            write_partitions(raw.land_fetches(spark, responses_dir, fetches), table_path, days=fetches, sources=fetches)
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    return writer.start()
+    with listing(spark):
+        return writer.start()
 
 
 def stream_landing_job(spark: SparkSession, sf_root: str) -> DataFrame:
