@@ -446,4 +446,5 @@ UNION ALL SELECT 'team_stats', stat_date, count(*) FROM stg_team_stats GROUP BY
 ORACLE["watchlist_document"] = ORACLE["watchlist_alerts"]
 ORACLE["league_document"] = ORACLE["league_summary"]
 ORACLE["salary_sheet"] = ORACLE["salary_cap"]
+ORACLE["incremental_rankings"] = ORACLE["rpt_player_rankings"]
 ORACLE["backfill_runs"] = ORACLE["dim_teams"]

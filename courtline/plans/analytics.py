@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import guarded_ratio, round_half_away
+from courtline.session import checkpoint_root
+from courtline.plans.states import player_days, player_form
 
 # Fixed values of the salary cap rules.
 SALARY_CAP = 136_000_000.0
@@ -22,6 +24,13 @@ SLUMP_HIGH_AT = 0.25
 ALERT_DETAIL = "Performance threshold exceeded"
 
 
+def kept_states(perf: DataFrame) -> DataFrame:
+    """The facts' states, checkpointed: one row per player, team and day, so that a
+    report and its day come from one pass over the facts."""
+    checkpoint_root(perf.sparkSession)
+    return player_days(perf).checkpoint(eager=True)
+
+
 def latest_day(df: DataFrame, date_col: str) -> Column:
     """``(SELECT max(date_col) FROM df)`` as a scalar subquery column."""
     return df.agg(F.max(date_col)).scalar()
@@ -81,34 +90,13 @@ def league_summary(
     return stacked.agg(*[F.max(f).alias(f) for f in fields]).select(day.alias("report_date"), *fields)
 
 
-def player_form(perf: DataFrame) -> DataFrame:
-    """Per player: the last game (latest date; ties by stat id as a number, then
-    fantasy points) and the count and sum of the known fantasy points of the
-    earlier games.
-
-    A hash aggregate of fixed-width values (count, sum, latest date) reduces
-    the facts before any sort; only the rows of a player's last date, which
-    a join by player and date picks, are then compared in full."""
-    known = perf.select("player_id", "game_date", F.col("stat_id").try_cast("long").alias("stat_no"), "fantasy_points")
-    totals = known.groupBy("player_id").agg(
-        F.max("game_date").alias("last_game_date"), F.count("fantasy_points").alias("games"), F.sum("fantasy_points").alias("total_fp")
-    )
-    dates = totals.select(F.col("player_id").alias("_player"), F.col("last_game_date").alias("_date"))
-    last_rows = known.join(dates, (F.col("player_id") == F.col("_player")) & (F.col("game_date") == F.col("_date")))
-    last = last_rows.groupBy("_player").agg(F.max(F.struct("stat_no", "fantasy_points")).alias("last"))
-    last_points = F.col("last.fantasy_points")
-    has_last = F.when(last_points.isNull(), 0).otherwise(1)
-    return totals.join(last, F.col("player_id") == F.col("_player")).select(
-        "player_id",
-        "last_game_date",
-        last_points.alias("last_fantasy_points"),
-        (F.col("games") - has_last).cast("long").alias("earlier_games"),
-        (F.col("total_fp") - F.coalesce(last_points, F.lit(0))).alias("earlier_fp"),
-    )
+def watchlist_alerts(perf: DataFrame, report_date: Column, **rules) -> DataFrame:
+    """``alerts_of`` the facts' states."""
+    return alerts_of(player_days(perf), report_date, **rules)
 
 
-def watchlist_alerts(
-    perf: DataFrame,
+def alerts_of(
+    states: DataFrame,
     report_date: Column,
     min_earlier: int = MIN_EARLIER_GAMES,
     breakout_at: float = BREAKOUT_AT,
@@ -123,8 +111,8 @@ def watchlist_alerts(
     a slump; severity is high beyond the ``*_high_at`` factors, else medium.
     Compared as ``last * n >= f * sum`` in exact DECIMAL arithmetic, so no
     division rounds. Players need ``min_earlier`` earlier games and a
-    positive mean."""
-    form = player_form(perf.where(F.col("game_date") <= report_date))
+    positive mean. ``states`` are per player and day (``plans.states``)."""
+    form = player_form(states.where(F.col("game_date") <= report_date))
     last_n = F.col("last_fantasy_points") * F.col("earlier_games")
 
     def times(f: float) -> Column:

@@ -49,9 +49,9 @@ def watchlist_document_job(spark: SparkSession, sf_root: str) -> DataFrame:
     read the items back with the alerts' schema."""
     from courtline.plans import analytics
 
-    perf = chain.fct_player_performance(spark, sf_root)
-    day = analytics.latest_day(perf, "game_date")
-    alerts = analytics.watchlist_alerts(perf, day)
+    states = analytics.kept_states(chain.fct_player_performance(spark, sf_root))
+    day = analytics.latest_day(states, "game_date")
+    alerts = analytics.alerts_of(states, day)
     out = scratch_path(spark, "document")
     return write_document(lambda items: analytics.watchlist_summary(items, day), out, items=alerts)
 

@@ -28,13 +28,19 @@ STAGING_MODELS = {
 }
 
 
+def pending(spark: SparkSession, source: str, target: str) -> list:
+    """Days of the day table ``target`` that are not made from the newest write of
+    that day in ``source``: landed, landed again, or emptied. From the two
+    manifests alone, which have a row per day."""
+    landed = manifest.entries(spark, source).select("day", "write")
+    made = manifest.entries(spark, target).select("day", "source")
+    both = landed.join(made, "day", "left").where(~F.col("write").eqNullSafe(F.col("source")))
+    return sorted(r.day for r in both.where("day is not null").select("day").collect())
+
+
 def pending_days(spark: SparkSession, raw_root: str, staging_root: str, table: str) -> list:
-    """Days whose newest raw write is not the one they were staged from: landed,
-    landed again, or emptied. From the two manifests alone, which have a row per day."""
-    landed = manifest.entries(spark, os.path.join(raw_root, table)).select("day", "write")
-    staged = manifest.entries(spark, os.path.join(staging_root, table)).select("day", "source")
-    both = landed.join(staged, "day", "left").where(~F.col("write").eqNullSafe(F.col("source")))
-    return sorted(r.day for r in both.select("day").collect())
+    """Days of a raw table that have to be staged (again)."""
+    return pending(spark, os.path.join(raw_root, table), os.path.join(staging_root, table))
 
 
 def build_staging(
@@ -62,10 +68,16 @@ def build_staging(
     return write_partitions(model(source), os.path.join(staging_root, table), col=date_col, days=days, sources=held)
 
 
-def read_staging(spark: SparkSession, staging_root: str, table: str) -> DataFrame:
-    model, date_col = STAGING_MODELS[table]
-    schema = model(spark.createDataFrame([], raw.RAW_SCHEMA)).schema
-    return read_partitions(spark, os.path.join(staging_root, table), schema, date_col)
+def empty_staging(spark: SparkSession, table: str) -> DataFrame:
+    """No rows, with the columns of a typed staging table."""
+    return STAGING_MODELS[table][0](spark.createDataFrame([], raw.RAW_SCHEMA))
+
+
+def read_staging(
+    spark: SparkSession, staging_root: str, table: str, version: manifest.Version | None = None, days: Iterable | None = None
+) -> DataFrame:
+    schema, date_col = empty_staging(spark, table).schema, STAGING_MODELS[table][1]
+    return read_partitions(spark, os.path.join(staging_root, table), schema, date_col, version, days)
 
 
 def incremental_staging_job(spark: SparkSession, sf_root: str) -> DataFrame:

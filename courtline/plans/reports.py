@@ -91,8 +91,12 @@ def player_aggregates(perf: DataFrame) -> DataFrame:
 
 
 def rpt_player_rankings(perf: DataFrame) -> DataFrame:
+    return rank_players(player_aggregates(perf))
+
+
+def rank_players(aggregates: DataFrame) -> DataFrame:
     ranked = global_ranks(
-        player_aggregates(perf),
+        aggregates,
         {
             "efficiency_rank": _order("avg_efficiency", PLAYER_TIEBREAK),
             "scoring_rank": _order("avg_points", PLAYER_TIEBREAK),

@@ -23,6 +23,7 @@ from courtline.operators.windows import global_rank, latest_per_key
 from courtline.plans import analytics, chain, landing, marts
 from courtline.plans.backfill import backfill_job
 from courtline.plans.materialize import incremental_staging_job, read_staging
+from courtline.plans.states import incremental_rankings_job
 from courtline.session import scratch_path
 from courtline.sinks.tables import write_document, write_partitions
 from courtline.sources.adapters import team_payroll
@@ -203,14 +204,14 @@ def q_salary_sheet(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_watchlist_alerts(spark: SparkSession, root: str) -> DataFrame:
-    perf = chain.fct_player_performance(spark, root)
-    return analytics.watchlist_alerts(perf, analytics.latest_day(perf, "game_date"))
+    states = analytics.kept_states(chain.fct_player_performance(spark, root))
+    return analytics.alerts_of(states, analytics.latest_day(states, "game_date"))
 
 
 def q_watchlist_summary(spark: SparkSession, root: str) -> DataFrame:
-    perf = chain.fct_player_performance(spark, root)
-    day = analytics.latest_day(perf, "game_date")
-    return analytics.watchlist_summary(analytics.watchlist_alerts(perf, day), day)
+    states = analytics.kept_states(chain.fct_player_performance(spark, root))
+    day = analytics.latest_day(states, "game_date")
+    return analytics.watchlist_summary(analytics.alerts_of(states, day), day)
 
 
 def q_salary_cap(spark: SparkSession, root: str) -> DataFrame:
@@ -259,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "dim_teams": chain.dim_teams,
     "rpt_team_standings": chain.rpt_team_standings,
     "rpt_player_rankings": chain.rpt_player_rankings,
+    "incremental_rankings": incremental_rankings_job,
     # summaries
     "league_summary": q_league_summary,
     "league_summary_for_day": q_league_summary_for_day,
