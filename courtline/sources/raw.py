@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from courtline.functions.json import RESPONSE_DDL, parse_json
 from courtline.session import scoped_conf
 from courtline.sinks import manifest
-from courtline.sinks.tables import SMALL_WRITE_CONF, listing, read_partitions
+from courtline.sinks.tables import SMALL_WRITE_CONF, listing, read_partitions, replace_table
 
 RAW_SCHEMA = T.StructType(
     [T.StructField("data", T.StringType()), T.StructField("partition_date", T.DateType())]
@@ -157,19 +157,63 @@ SHEET_SCHEMAS = {
 }
 
 
+class SheetHeaderError(ValueError):
+    """A sheet whose columns are not those declared."""
+
+
+def _sheet_layout(spark: SparkSession, path: str, schema: T.StructType | str) -> T.StructType:
+    """The declared fields in the order of the sheet's header."""
+    schema = SHEET_SCHEMAS.get(schema, schema) if isinstance(schema, str) else schema
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = {f.name: f for f in declared.fields}
+    header = [name.strip() for name in spark.read.option("header", True).option("multiLine", True).csv(path).columns]
+    unknown, missing = [n for n in header if n not in fields], [n for n in fields if n not in header]
+    if unknown or missing or len(set(header)) < len(header):
+        raise SheetHeaderError(f"{path}: unknown columns {unknown}, missing columns {missing}, header {header}")
+    return T.StructType([fields[n] for n in header])
+
+
+def _sheet(spark: SparkSession, path: str, layout: T.StructType, mode: str):
+    """Files of one drop must agree in their header (``enforceSchema`` off checks each);
+    a quoted cell may hold line breaks."""
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("multiLine", True).option("escape", '"')
+    return reader.option("mode", mode).schema(layout)
+
+
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A header-first table drop (CSV export of a sheet) with a declared
-    schema (a ``SHEET_SCHEMAS`` name or a schema). A missing file raises
-    (AnalysisException: PATH_NOT_FOUND); a malformed row raises (FAILFAST)."""
-    schema = SHEET_SCHEMAS.get(schema, schema) if isinstance(schema, str) else schema
-    return (
-        spark.read.option("header", True)
-        .option("mode", "FAILFAST")
-        .schema(schema)
-        .csv(path)
-    )
+    schema (a ``SHEET_SCHEMAS`` name or a schema), in the schema's column order.
+
+    Columns are found by their header, in whatever order the sheet has them; an
+    unknown, missing or repeated header raises. A missing file raises (AnalysisException:
+    PATH_NOT_FOUND); a malformed row raises (FAILFAST)."""
+    layout = _sheet_layout(spark, path, schema)
+    declared = SHEET_SCHEMAS.get(schema, schema) if isinstance(schema, str) else schema
+    names = (T.StructType.fromDDL(declared) if isinstance(declared, str) else declared).fieldNames()
+    return _sheet(spark, path, layout, "FAILFAST").csv(path).select(*names)
+
+
+BAD_ROW = "_bad_row"
+
+
+def sift_sheet(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """``read_sheet`` that sets malformed rows aside: the good rows, and the bad ones with
+    their file, their whole text (``record``) and the fields that could be read."""
+    layout = _sheet_layout(spark, path, schema)
+    names = read_sheet(spark, path, schema).columns
+    rows = _sheet(spark, path, layout.add(BAD_ROW, "string"), "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW).csv(path)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
+    good = rows.where(F.col(BAD_ROW).isNull()).select(*names)
+    return good, rows.where(F.col(BAD_ROW).isNotNull()).select("file", F.col(BAD_ROW).alias("record"), *names)
+
+
+def land_sheet(spark: SparkSession, path: str, schema: T.StructType | str, table_path: str) -> None:
+    """Replace a table by a sheet's good rows, and ``<table_path>_bad`` by its bad rows."""
+    good, bad = sift_sheet(spark, path, schema)
+    replace_table(good, table_path)
+    replace_table(bad, f"{table_path}_bad")
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
     """Write a table as a header-first CSV drop (one file per task)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
