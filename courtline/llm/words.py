@@ -22,6 +22,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator
+from unicodedata import is_normalized
 
 from .worker import cache
 
@@ -102,8 +103,8 @@ class WordCache(dict):
         value = self.old.get(word)
         if value is None:
             core, usual = word, word.isascii() or not _UNUSUAL.search(word)
-            if len(word) > 1 and word[-1] in ".," and word[-2].isalpha() and word[-2] != "\u0130":
-                core = word[:-1]
+            if len(word) > 1 and word[-1] in ".," and word[-2].isalpha() and word[-2] != "\u0130" and is_normalized("NFC", word[-2]):
+                core = word[:-1]  # a letter that NFC takes apart ends in a mark, which parts the stop differently
             if usual and core != (low := core.lower()):
                 if self.mark in low and any(x in low for x in self.added):
                     usual = False

@@ -137,7 +137,8 @@ def test_signature_estimates_similarity():
     assert abs(same - 2400 / 3600) < 0.09
 
 
-SHINGLE = regex.compile(r"(?s)(?<!\p{Ll})(?=(.{1,10}))")
+#: The five characters from each place on; a shorter line is one shingle.
+SHINGLE = regex.compile(r"(?s)(?=(.{5}|\A.{1,4}\Z)).")
 
 
 def brute_lines(rows):

@@ -1,43 +1,29 @@
-"""Line dedup against brute force over the character shingles of whole lines."""
+"""Line dedup against brute force on lines that differ late in a word or in one letter."""
 
-import regex
-
-from courtline.llm import line_dedup
 from courtline.llm.line_dedup import dedup_lines
-from tests.llm import test_dedup, test_pipeline
 from tests.llm.conftest import SCHEMA
+from tests.llm.test_dedup import brute_lines
 
 
-def whole_lines(monkeypatch):
-    width = line_dedup.WIDTH
-    monkeypatch.setattr(test_dedup, "SHINGLE", regex.compile(r"(?s)(?=(.{%d}|\A.{1,%d}\Z))." % (width, width - 1)))
-
-
-def check_lines(docs, monkeypatch):
+def check_lines(docs):
     """Rows of ``dedup_lines``, held against brute force."""
-    whole_lines(monkeypatch)
     got = dedup_lines(docs).select("doc_id", "text", "n_lines", "n_dropped").collect()
-    assert sorted(map(tuple, got), key=str) == test_dedup.brute_lines([(r.doc_id, r.text) for r in docs.collect()])
+    assert sorted(map(tuple, got), key=str) == brute_lines([(r.doc_id, r.text) for r in docs.collect()])
     return got
 
 
-def test_tables_and_odd_rows(small, odd, monkeypatch):
-    check_lines(small, monkeypatch)
-    check_lines(odd, monkeypatch)
-
-
-def test_every_letter_of_a_run_counts(spark, monkeypatch):
+def test_every_letter_of_a_run_counts(spark):
     pairs = [
         ("Responsibility", "Responsibilities"),
         ("Bundesverfassungsgericht", "Bundesverfassungsschutz"),
         ("acgtacgtac" + "ggacttgacc" * 5, "acgtacgtac" + "ttccagtgaa" * 5),
     ]
     rows = [(n, line, None, None) for n, line in enumerate(x for pair in pairs for x in pair)]
-    got = check_lines(spark.createDataFrame(rows, SCHEMA), monkeypatch)
+    got = check_lines(spark.createDataFrame(rows, SCHEMA))
     assert sum(r.n_dropped for r in got) == 0
 
 
-def test_short_lines_with_one_letter_changed(spark, monkeypatch):
+def test_short_lines_with_one_letter_changed(spark):
     lines = [
         "the committee will publish its annual report on water supply next spring",
         "most of the old houses along the river were built before the railway came",
@@ -45,10 +31,5 @@ def test_short_lines_with_one_letter_changed(spark, monkeypatch):
     ]
     rows = [(n, line, None, None) for n, line in enumerate(lines)]
     rows += [(10 + n, line[:40] + "#" + line[41:], None, None) for n, line in enumerate(lines)]
-    got = check_lines(spark.createDataFrame(rows, SCHEMA), monkeypatch)
+    got = check_lines(spark.createDataFrame(rows, SCHEMA))
     assert sorted(r.doc_id for r in got if r.n_dropped) == [10, 11, 12]
-
-
-def test_pipeline_stages(spark, monkeypatch):
-    whole_lines(monkeypatch)
-    test_pipeline.test_stages_against_brute_force(spark)

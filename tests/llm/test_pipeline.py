@@ -4,6 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
 from courtline.llm.near_dedup import BANDS, ROWS
 from courtline.llm.queries import ORACLE, QUERIES
 from courtline.llm.storage import stored
@@ -15,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_its_query():
-    names = {n: [k for k in QUERIES if k.startswith(f"op{n}_")] for n in range(1, 11)}
+    names = {n: [k for k in QUERIES if k.startswith(f"op{n}_")] for n in range(1, 14)}
     assert all(len(found) == 1 for found in names.values())
     assert set(ORACLE) <= set(QUERIES) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
@@ -56,10 +57,21 @@ def test_run_gives_the_last_stage(spark):
     assert result.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and result.count() > 0
 
 
+CLASHES = ("size", "target", "source_size", "draws", "shard", "words", "kept", "n_words", "drops", "n_dropped", "_source", "line", "node", "_h")
+
+
 def test_stages_of_odd_and_empty_documents(spark, odd, none):
-    for docs in (odd, none):
+    """Rows without words go, the long and the repeated text stay once, whatever further columns there are."""
+    for docs, left in ((odd, 3), (none, 0)):
+        docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumns({c: F.lit(f"given {c}") for c in CLASHES})
+        names, counts = docs.columns, []
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, SF), "test-odd")
+            counts.append(docs.count())
+            if len(counts) < len(corpus_pipeline.STAGES):
+                assert docs.columns == names
+                assert all(r[c] == f"given {c}" for r in docs.collect() for c in CLASHES)
+        assert counts[0] <= left and (counts[-1] > 0) == (left > 0)
 
 
 def test_near_dedup_stage_misses_few_pairs_at_its_threshold(spark, monkeypatch):

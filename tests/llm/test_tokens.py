@@ -1,6 +1,7 @@
 """Token counts and packing against the tokenizer itself."""
 
 import random
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
@@ -32,6 +33,15 @@ def test_words_encode_as_the_library_does():
         assert sum(map(sum, length_cache(PATH).values_of(text))) == len(got)
 
 
+def test_letters_that_nfc_takes_apart():
+    letters = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha() and not unicodedata.is_normalized("NFC", c)]
+    assert len(letters) > 59
+    for c in letters:
+        for text in (f"{c},", f"{c}.", f"a{c}.", f"{c}{c}, {c}a."):
+            got = array("I", b"".join(b"".join(x) for x in id_cache(PATH).values_of(text)))
+            assert list(got) == ids_of(text), repr(text)
+
+
 def test_special_strings_in_other_case_are_text():
     rng = random.Random(4)
     parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|StartOfText|>", "<|startoftext|>", "a", "B", ".", ",", " ", "<|"]
