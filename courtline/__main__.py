@@ -1,6 +1,6 @@
 """Command line: land raw tables, build the models, write the summaries.
 
-  python -m courtline land    --sf-dir DIR --raw-root RAW [--table T ...] [--batch-days 10]
+  python -m courtline land    --sf-dir DIR --raw-root RAW [--table T ...] [--batch-days 10] [--run-id ID]
   python -m courtline responses --responses DIR --raw-root RAW --table T [--day D ...]
   python -m courtline stage   --raw-root RAW --staging-root STG [--table T ...] [--day D ...]
   python -m courtline build   --staging-root STG --out OUT [--model M ...]
@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--raw-root", required=True)
     p.add_argument("--table", action="append", choices=RAW_TABLES)
     p.add_argument("--batch-days", type=int, default=10)
+    p.add_argument("--run-id", help="a stopped backfill goes on when it is started again under its id")
     p = sub.add_parser("responses")
     p.add_argument("--responses", required=True)
     p.add_argument("--raw-root", required=True)
@@ -69,7 +70,7 @@ def run(spark, args) -> None:
         for t in args.table or RAW_TABLES:
             runs = backfill(spark, chain.raw(spark, args.sf_dir, t), os.path.join(args.raw_root, t),
                             batch_days=args.batch_days, log_path=os.path.join(args.raw_root, "_load_log"),
-                            table_name=t)
+                            table_name=t, run_id=args.run_id)
             print(f"{t}: {runs} runs")
     elif args.cmd == "responses":
         rows = land_response(spark, args.responses)

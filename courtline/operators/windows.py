@@ -69,6 +69,39 @@ def global_ranks(
     return out
 
 
+def ranks_by_measure(
+    df: DataFrame, ranks: dict[str, str], *, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Several global row numbers at once, ``{rank_col: measure}``: each by its measure
+    (numeric) descending, NULL last, ties by ``keys`` ascending, NULL last; ``keys`` identify a row.
+
+    Every row becomes one narrow row per rank, and one range sort over (rank,
+    measure, keys) numbers them all; equal measures, however many, are split by the keys.
+    A row's number is its place in its range plus the rank's rows in the ranges before, of which
+    there is one count per rank and range. The numbers of a row are brought together by one
+    grouping on the keys."""
+    checkpoint_root(df.sparkSession)
+    base = df.checkpoint(eager=True)  # computed once, and the same rows for sorting and joining
+    names = list(ranks)
+    narrow = F.array(*[F.struct(F.lit(i).alias("_r"), F.col(ranks[name]).cast("double").alias("_m")) for i, name in enumerate(names)])
+    rows = base.select(*keys, F.explode(narrow).alias("_x")).select(*keys, "_x.*")
+    n = base.count() * len(names)
+    parts = max(1, math.ceil(n / rows_per_range), min(df.sparkSession.sparkContext.defaultParallelism, n))
+    order = [F.col("_r"), F.col("_m").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys]]
+    sorted_rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    tagged = sorted_rows.select("_r", *keys, F.monotonically_increasing_id().alias("_rid")).checkpoint(eager=True)
+    tagged = tagged.withColumn("_pid", F.shiftright("_rid", 33))
+    runs = tagged.groupBy(F.col("_r").alias("_of"), F.col("_pid").alias("_at")).agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # one row per rank and range: at most rows / rows_per_range of them
+    before = F.sum("_n").over(Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select("_of", "_at", (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    placed = tagged.join(runs, (F.col("_r") == F.col("_of")) & (F.col("_pid") == F.col("_at")))
+    place = (F.col("_rid") + F.col("_shift")).cast("long")
+    found = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.max(F.when(F.col("_r") == i, place)).alias(name) for i, name in enumerate(names)])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return base.join(found, same).drop(*[f"_{k}" for k in keys])
+
+
 def _running(df: DataFrame, by: str, at: str) -> DataFrame:
     """``(by, at, before)``: the sum of ``n`` over the smaller ``at`` of a group.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions.scalar import guarded_ratio, round_half_away
 from courtline.session import checkpoint_root
-from courtline.plans.states import player_days, player_form
+from courtline.plans.states import FORM_COLUMNS, player_days, player_form
 
 # Fixed values of the salary cap rules.
 SALARY_CAP = 136_000_000.0
@@ -25,10 +25,10 @@ ALERT_DETAIL = "Performance threshold exceeded"
 
 
 def kept_states(perf: DataFrame) -> DataFrame:
-    """The facts' states, checkpointed: one row per player, team and day, so that a
+    """What the watchlist reads of the facts' states, checkpointed, so that a
     report and its day come from one pass over the facts."""
     checkpoint_root(perf.sparkSession)
-    return player_days(perf).checkpoint(eager=True)
+    return player_days(perf).select(*FORM_COLUMNS).checkpoint(eager=True)
 
 
 def latest_day(df: DataFrame, date_col: str) -> Column:

@@ -18,6 +18,7 @@ from courtline.operators.partitions import DEFAULT_BATCH_DAYS, backfill_batches,
 from courtline.plans import chain, marts
 from courtline.plans.materialize import build_staging, read_staging
 from courtline.session import scratch_path
+from courtline.sinks import manifest
 from courtline.sinks.tables import append_load_log, write_partitions
 from courtline.sources import raw
 
@@ -46,16 +47,25 @@ def backfill(
     batch_days: int = DEFAULT_BATCH_DAYS,
     log_path: str | None = None,
     table_name: str = "raw",
+    run_id: str | None = None,
 ) -> int:
     """Land ``source`` into ``table_path`` run by run; returns the number of
-    runs. Every calendar day of a run is replaced, so a day without rows in
-    the source is emptied if the table holds it."""
+    runs that were landed. Every calendar day of a run is replaced, so a day without rows in
+    the source is emptied if the table holds it.
+
+    With a ``run_id``, each run's commit notes it for its days, which makes the
+    table's manifest the ledger of the backfill: started again under the same id, it
+    goes on behind the runs that were committed."""
     path = scratch_path(spark, "backfill-source")
     counted = write_partitions(source, path)
-    runs = split_runs([d for d in counted if d], batch_days)
+    ledger = f"backfill {run_id}"
+    landed = manifest.entries(spark, table_path).where(F.col("source") == ledger).select("day").collect() if run_id else []
+    done = {r["day"] for r in landed}  # one per day of the calendar
+    runs = [run for run in split_runs([d for d in counted if d], batch_days) if not done.issuperset(run)]
     for run in runs:
         # a day that the table holds and the source does not is emptied in the same commit
-        counts = write_partitions(raw.raw_scan(spark, path, days=run), table_path, days=run)
+        notes = dict.fromkeys(run, ledger) if run_id else None
+        counts = write_partitions(raw.raw_scan(spark, path, days=run), table_path, days=run, sources=notes)
         if log_path:
             append_load_log(spark, log_path, table_name, table_path, counts)
     return len(runs)

@@ -6,18 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import round_half_away
-from courtline.operators.windows import global_ranks
+from courtline.operators.windows import ranks_by_measure
 
 # Tie-breaks appended to every ranking so that ranks are reproducible.
 TEAM_TIEBREAK = ["team_abbreviation"]
 PLAYER_TIEBREAK = ["player_id", "team"]
 
 
-def _order(measure: str, tiebreak: list[str]) -> list:
-    """``measure DESC NULLS LAST`` then the tie-break keys ascending."""
-    return [F.col(measure).desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in tiebreak]]
-
-
 def team_game_counts(game_results: DataFrame) -> DataFrame:
     """Per team: home games, home wins and wins, in ONE pass over the games.
 
@@ -62,7 +57,7 @@ def standings_base(teams: DataFrame, game_results: DataFrame) -> DataFrame:
 
 def rpt_team_standings(teams: DataFrame, game_results: DataFrame) -> DataFrame:
     base = standings_base(teams, game_results)
-    ranked = global_ranks(base, {"overall_rank": _order("win_pct", TEAM_TIEBREAK)}, keys=TEAM_TIEBREAK)
+    ranked = ranks_by_measure(base, {"overall_rank": "win_pct"}, keys=TEAM_TIEBREAK)
     return ranked.orderBy("overall_rank")
 
 
@@ -95,13 +90,5 @@ def rpt_player_rankings(perf: DataFrame) -> DataFrame:
 
 
 def rank_players(aggregates: DataFrame) -> DataFrame:
-    ranked = global_ranks(
-        aggregates,
-        {
-            "efficiency_rank": _order("avg_efficiency", PLAYER_TIEBREAK),
-            "scoring_rank": _order("avg_points", PLAYER_TIEBREAK),
-            "fantasy_rank": _order("avg_fantasy_points", PLAYER_TIEBREAK),
-        },
-        keys=PLAYER_TIEBREAK,
-    )
-    return ranked.orderBy("efficiency_rank")
+    measures = {"efficiency_rank": "avg_efficiency", "scoring_rank": "avg_points", "fantasy_rank": "avg_fantasy_points"}
+    return ranks_by_measure(aggregates, measures, keys=PLAYER_TIEBREAK).orderBy("efficiency_rank")

@@ -29,6 +29,8 @@ AVERAGED = {
 RATES = {"avg_fg_pct": "fg_pct", "avg_fg3_pct": "fg3_pct", "avg_ft_pct": "ft_pct"}
 MAXIMA = {"max_points": "points", "max_rebounds": "rebounds", "max_assists": "assists"}
 KEYS = ["game_date", "player_id", "team"]
+# The columns of a state that ``player_form`` reads.
+FORM_COLUMNS = ["player_id", "game_date", "n_fantasy_points", "sum_fantasy_points", "last_game"]
 
 _SHIFT = 10**18  # fantasy points in tenths lie within +-10**17
 _WHOLE = "decimal(38,0)"

@@ -165,3 +165,27 @@ def test_staging_notes_the_raw_write_with_its_rows(spark, tmp_dir, monkeypatch):
     build_staging(spark, raw_root, stg, "games")
     assert pending_days(spark, raw_root, stg, "games") == []
     assert manifest.entries(spark, os.path.join(stg, "games")).where(F.col("source").isNull()).count() == 0
+
+
+def test_a_stopped_backfill_goes_on(spark, path, monkeypatch):
+    from courtline.plans import backfill as plan
+
+    source = rows(spark, *D[:25])
+    real, calls = plan.write_partitions, []
+
+    def stopped(df, table, **kw):
+        if table == path:
+            calls.append(kw["days"])
+            if len(calls) == 3:
+                raise InterruptedError
+        return real(df, table, **kw)
+
+    monkeypatch.setattr(plan, "write_partitions", stopped)
+    with pytest.raises(InterruptedError):
+        plan.backfill(spark, source, path, run_id="a")
+    assert [d for d, _ in held(spark, path)] == D[:20]
+    calls.clear()
+    monkeypatch.setattr(plan, "write_partitions", lambda df, table, **kw: (calls.append(kw.get("days")), real(df, table, **kw))[1])
+    assert plan.backfill(spark, source, path, run_id="a") == 1
+    assert calls == [None, D[20:25]] and [d for d, _ in held(spark, path)] == D[:25]
+    assert plan.backfill(spark, source, path, run_id="a") == 0 and plan.backfill(spark, source, path, run_id="b") == 3
