@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template svg iframe object math select".split())
+RAW = frozenset("script style title textarea noscript template svg iframe object select".split())
 PLAIN_INLINE = frozenset("abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small strike strong sub sup time tt u var".split())
+PLAIN_INLINE |= frozenset("math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation".split())
 INLINE = frozenset("a span label".split())
 BOILER_TAGS = frozenset("nav footer aside form button dialog menu".split())
 CONTENT_TAGS = frozenset("article main".split())
@@ -38,9 +39,12 @@ CONTENT_WORDS = frozenset("article articlebody content entry main mainbody mainc
 MARKED, WORDS_GAIN, WORDS_MOST, LINKS, SENTENCE, HEADING, BIAS = 12.0, 0.06, 60, 5.0, 0.8, 0.6, -0.4
 ADJACENT, CONTAINER = 1.2, 0.8
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
-)
+_OPEN = r"<!--.*?-->|<!--.*\Z|<[!?][^>]*>"
+_BROKEN = r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>"
+_TAG = re.compile(_OPEN + r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|" + _BROKEN, re.S)
+#: For pages with quotes that never close: each such tag is read to the page's end first, which is done BROKEN_TAGS times.
+BROKEN_TAGS = 50
+_PLAIN_TAG = re.compile(_OPEN + r"|<()()()(?!)|" + _BROKEN, re.S)
 _MARKS = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _TOKEN = re.compile(r"[a-z0-9]+")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -88,9 +92,20 @@ def blocks(page: str) -> list[tuple]:
         parts.clear()
         linked = 0
 
+    # behind the last ">" no tag ends; what a comment or declaration opens there goes
+    last = page.rfind(">") + 1
+    cut = re.compile("<[!?]").search(page, last)
+    stop = cut.start() if cut else len(page)
+    pattern, broken, unclosed = _TAG, 0, set()
     while True:
-        tag = _TAG.search(page, at)
-        end = tag.start() if tag else len(page)
+        tag = pattern.search(page, at, last) if at < last else None
+        if tag is not None and tag[5] and pattern is _TAG:
+            broken += 1
+            pattern = _TAG if broken < BROKEN_TAGS else _PLAIN_TAG
+        if tag is not None and tag.end() == last and tag[0].startswith("<!--") and not tag[0].endswith("-->"):
+            last = stop = tag.start()
+            tag = None
+        end = tag.start() if tag else max(at, stop)
         if end > at:
             piece = page[at:end]
             parts.append(piece)
@@ -118,9 +133,10 @@ def blocks(page: str) -> list[tuple]:
                     break
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
+            close = None if name in unclosed else re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
             if close is None:
-                if name in ("svg", "math", "object", "select", "iframe"):
+                unclosed.add(name)
+                if name in ("svg", "object", "select", "iframe"):
                     continue
                 break
             at = page.find(">", close.start()) + 1 or len(page)

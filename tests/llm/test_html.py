@@ -3,8 +3,10 @@
 import itertools
 import random
 import re
+import time
 from html import unescape
 
+import pytest
 from pyspark.sql import functions as F
 
 from courtline.llm.html_extract import blocks, extract, main_blocks, source_side
@@ -72,3 +74,27 @@ def test_cut_is_minimal():
 def test_unclosed_markup_ends():
     assert blocks("<script>never closed") == [] and blocks("<!-- never closed") == []
     assert [b[0] for b in blocks("<p title='a>b'>x</p>y<br>z")] == ["x", "y z"]
+
+
+def page_text(page):
+    return "\n\n".join(main_blocks(page))
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, '<a ">"' * 150_000, '<a "' * 250_000 + ">", "<svg>" * 200_000, "<!-- " * 200_000, "<a b='\">" * 150_000])
+def test_broken_markup_takes_linear_time(page):
+    began = time.process_time()
+    page_text("<p>first words of it.</p>" + page)
+    assert time.process_time() - began < 20
+
+
+def test_broken_markup_keeps_the_text_around_it():
+    long = "A sentence of the article that has quite a few words in it, and goes on. "
+    assert page_text(f"<article><p>{long}</p><p>{long}x<!-- no end <p>gone</p>") == f"{long.strip()}\n\n{long}x"
+    assert page_text(f"<article><p>{long}tail <!x") == f"{long}tail"
+    assert page_text(f'<article><p>{long}</p><p title="a>b">{long}</p></article>') == f"{long.strip()}\n\n{long.strip()}"
+
+
+def test_formulas_are_text():
+    words = "The sum of the first numbers is told by this short formula here, as all know: "
+    page = f"<article><p>{words}<math><mi>n</mi><mo>+</mo><mn>1</mn></math> and it holds for all of them.</p></article>"
+    assert page_text(page) == f"{words}n+1 and it holds for all of them."
