@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from courtline.plans import analytics, chain
 from courtline.plans.backfill import backfill
 from courtline.plans.materialize import STAGING_MODELS, build_staging, pending_days, read_staging
-from courtline.session import build_session
+from courtline.session import build_session, free_scratch
 from courtline.sinks.tables import replace_table, write_document, write_partitions
 from courtline.sources.raw import RAW_TABLES, days_of_responses, land_response
 
@@ -107,6 +107,7 @@ def main(argv=None) -> None:
     try:
         run(spark, args)
     finally:
+        free_scratch(spark)
         spark.stop()
 
 

@@ -91,7 +91,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) "
                 "before running courtline jobs on a cluster"
@@ -102,9 +102,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder path under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, "courtline-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder path under the application's scratch folder."""
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for scratch tables, under the shared checkpoint root."""
+    return os.path.join(checkpoint_root(spark), "courtline-scratch", spark.sparkContext.applicationId)
+
+
+def free_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch tables. DataFrames that were returned over them
+    cannot be read any more, so this is for the end of a job."""
+    from courtline.sinks.manifest import remove
+
+    remove(spark, scratch_root(spark))
 
 
 @contextmanager

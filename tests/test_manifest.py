@@ -189,3 +189,14 @@ def test_a_stopped_backfill_goes_on(spark, path, monkeypatch):
     assert plan.backfill(spark, source, path, run_id="a") == 1
     assert calls == [None, D[20:25]] and [d for d, _ in held(spark, path)] == D[:25]
     assert plan.backfill(spark, source, path, run_id="a") == 0 and plan.backfill(spark, source, path, run_id="b") == 3
+
+
+def test_scratch_tables_are_freed(spark):
+    from courtline.session import free_scratch, scratch_path, scratch_root
+
+    name = scratch_path(spark, "some")
+    spark.range(3).write.parquet(name)
+    assert os.path.basename(name) in manifest.names_in(spark, scratch_root(spark))
+    free_scratch(spark)
+    assert manifest.names_in(spark, scratch_root(spark)) == []
+    spark.range(3).write.parquet(scratch_path(spark, "more"))  # later jobs make it anew
