@@ -1,5 +1,6 @@
 """The entry registers the core queries whatever the training-data part lacks."""
 
+import importlib.util
 import subprocess
 import sys
 
@@ -25,4 +26,5 @@ def test_core_queries_stand_alone(hidden):
     run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
     assert run.returncode == 0, run.stderr
     assert run.stdout.split() == ["0", "False"]
-    assert ("not all registered" in run.stderr) == (hidden[0] != "courtline.llm")
+    here = importlib.util.find_spec("courtline.llm") is not None  # the whole part may be absent, which is no fault
+    assert ("not all registered" in run.stderr) == (here and hidden[0] != "courtline.llm")
