@@ -12,7 +12,7 @@ from courtline.session import checkpoint_root
 #: All remaining pairs are tested at once when they are at most this many times the bucket rows.
 PAIRS_PER_ROW = 8
 #: Growth of the number of nodes per bucket that a round tests against the bucket.
-GROWTH = 8
+GROWTH = 32
 #: Nodes in a bucket from which on its nodes' shingles are counted, unless the operator says otherwise.
 CROWD = 16
 #: Shared buckets (16 bytes each) that may be broadcast; beyond that the join is shuffled.
@@ -65,15 +65,25 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
     return _held_twice(kept(near), "bucket").select("bucket", "node")
 
 
-def _pairs_possible(a: str, b: str, percent: int) -> str:
-    """Exact bound: the sizes and the numbers of shared shingles allow the similarity."""
-    sizes = f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
-    return f"{sizes} and {100 + percent} * least({a}.s, {b}.s) >= {percent} * ({a}.n + {b}.n)"
+def _pairs_possible(a: str, b: str, percent: int, words: int) -> str:
+    """Exact bounds: the sizes, the numbers of shared shingles and the bitmaps allow the similarity.
+
+    A shingle sets one bit of its set's bitmap (``words`` longs), so every bit
+    in which two bitmaps differ stands for a shingle that only one set has."""
+    bounds = [
+        f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)",
+        f"{100 + percent} * least({a}.s, {b}.s) >= {percent} * ({a}.n + {b}.n)",
+    ]
+    if words:
+        differ = " + ".join(f"bit_count({a}.bits[{k}] ^ {b}.bits[{k}])" for k in range(words))
+        bounds.append(f"{100 + percent} * ({differ}) <= {100 - percent} * ({a}.n + {b}.n)")
+    return " and ".join(bounds)
 
 
 def _bounded_rows(buckets: DataFrame, nodes: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], percent: int, crowd: int) -> DataFrame:
-    """The bucket rows with z = (n, size of the node's set; s, an upper bound of
-    what it shares with any node of the bucket), without hopeless nodes.
+    """The bucket rows with z = (n, size of the node's set; its bitmap if ``nodes``
+    has one; s, an upper bound of what it shares with any node of the bucket),
+    without hopeless nodes.
 
     In buckets of ``crowd`` nodes or more, shingles that only one of all their
     nodes has cannot be shared: s is n less their number.  A node that has too
@@ -81,30 +91,32 @@ def _bounded_rows(buckets: DataFrame, nodes: DataFrame, shingles_of: Callable[[D
     large group of copies, each with changes of its own, is not compared pair
     by pair."""
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("held"))
-    rows = kept(buckets.join(sizes, "bucket").join(nodes, "node").select("bucket", "node", "n", (F.col("held") >= crowd).alias("crowded")))
+    told = ["n", *(["bits"] if "bits" in nodes.columns else [])]
+    rows = kept(buckets.join(sizes, "bucket").join(nodes, "node").select("bucket", "node", *told, (F.col("held") >= crowd).alias("crowded")))
     shingles = shingles_of(rows.where("crowded").select("node").distinct())
     own = shingles.groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("own"))
     rows = rows.join(own, "node", "left").withColumn("s", F.when(F.col("crowded"), F.col("n") - F.coalesce("own", F.lit(0))).otherwise(F.col("n")))
-    rows = kept(rows.where(f"100 * s >= {percent} * n").select("bucket", "node", "n", "s"))
+    rows = kept(rows.where(f"100 * s >= {percent} * n").select("bucket", "node", *told, "s"))
     best = rows.groupBy("bucket").agg(F.min("n").alias("least_n"), F.max("s").alias("most_s"), F.count("*").alias("held")).where("held > 1")
     hope = f"{100 + percent} * least(s, most_s) >= {percent} * (n + least_n)"
-    return kept(rows.join(best, "bucket").where(hope).select("bucket", "node", F.struct("n", "s").alias("z")))
+    return kept(rows.join(best, "bucket").where(hope).select("bucket", "node", F.struct(*told, "s").alias("z")))
 
 
 def linked_components(
     buckets: DataFrame, nodes: DataFrame, shingles_of: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame], DataFrame], percent: int,
-    crowd: int = CROWD,
+    crowd: int = CROWD, words: int = 0,
 ) -> DataFrame:
     """node, component over all links among the nodes that share a bucket.
 
     ``buckets`` has bucket and node (long, distinct rows, two or more of each
-    bucket, as ``shared_buckets`` gives them), ``nodes`` node and n (size of
-    its set); ``shingles_of`` gives the rows (node, shingle) of some nodes;
+    bucket, as ``shared_buckets`` gives them), ``nodes`` node, n (size of
+    its set) and, if ``words`` is not 0, bits (its bitmap: an array of ``words``
+    longs in which each shingle sets one bit); ``shingles_of`` gives the rows (node, shingle) of some nodes;
     ``verify`` keeps those of the pairs (a, b, na, nb) whose similarity is
     ``percent`` or more.
 
-    Pairs whose sizes or shared shingles rule a link out are never made; the
-    latter are counted in buckets of ``crowd`` nodes or more.  The
+    Pairs whose sizes, bitmaps or shared shingles rule a link out are never made; the
+    last are counted in buckets of ``crowd`` nodes or more.  The
     first round tests the most typical node of every bucket (that of the
     fewest shingles of its own) against the others, which settles buckets of
     copies with one pair per row.  In buckets whose nodes are not one
@@ -112,7 +124,7 @@ def linked_components(
     tested against all nodes of other components and leave the bucket.  Once
     few pairs of different components remain, all of them are tested.  A pair
     goes untested only if its nodes are already in one component."""
-    possible = _pairs_possible("z", "zz", percent)
+    possible = _pairs_possible("z", "zz", percent, words)
 
     def pairs_of(met: DataFrame) -> DataFrame:
         swap = F.col("x") > F.col("y")

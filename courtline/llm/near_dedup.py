@@ -6,8 +6,9 @@ permutations: sigma spreads the shingles over 2**UNIVERSE_BITS places, and
 coordinate k is the minimum of pi, circularly shifted by k, over these places.
 Since a place's coordinates lie next to each other in pi, a signature is a
 gather of runs and a column minimum.  Bands of coordinates give candidate
-pairs; the Jaccard similarity of the full sets confirms the links; union-find
-makes components.
+pairs; bitmaps of 64 * BIT_WORDS places, in which each shingle sets a bit, rule
+out unlike ones exactly; the Jaccard similarity of the full sets confirms the
+links; union-find makes components.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from .worker import cache
 
 BANDS, ROWS = 20, 5  # a pair of similarity 0.85 shares a band but for 1 in 100,000
 UNIVERSE_BITS = 22
+BIT_WORDS = 16  # a power of two
 SEED = 29
 CACHE_WORDS = 100_000
 BROADCAST_GONE = 500_000  # dropped rows (16 bytes each) that may be broadcast
@@ -82,6 +84,14 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """BIT_WORDS longs in which each hash sets one bit."""
+    words = np.zeros(BIT_WORDS, dtype=np.uint64)
+    at = (hashes >> np.uint64(6)) & np.uint64(BIT_WORDS - 1)
+    np.bitwise_or.at(words, at.astype(np.int64), np.uint64(1) << (hashes & np.uint64(63)))
+    return words.view(np.int64)
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two ascending arrays of distinct hashes have the Jaccard similarity."""
     if len(a) > len(b):
@@ -113,11 +123,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             found.append((len(hashes), digest, band_keys(hashes, bands, rows) if len(hashes) else []))
         return pd.DataFrame(found, columns=["n_shingles", "digest", "bands"])
 
-    @F.pandas_udf("digest binary, hashes array<bigint>")
+    @F.pandas_udf("digest binary, hashes array<bigint>, bits array<bigint>")
     def full_set(texts: pd.Series) -> pd.DataFrame:
         sets = [shingles(t, width) for t in texts]
         digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-        return pd.DataFrame({"digest": digests, "hashes": [np.sort(s.view(np.int64)) for s in sets]})
+        return pd.DataFrame({"digest": digests, "hashes": [np.sort(s.view(np.int64)) for s in sets], "bits": [bitmap(s) for s in sets]})
 
     with small_batches(docs.sparkSession):
         described = stored(slim.withColumn("d", describe("text")).select("id", F.xxhash64("text").alias("text_hash"), "d.*"), "near-described")
@@ -132,7 +142,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         texts = slim.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("first_id")))
         # written first: else the sets of all documents are made below the join
         texts = stored(texts.select("node", "_digest", "text"), "near-texts")
-        sets = texts.withColumn("s", full_set("text")).where("s.digest = _digest").select("node", F.col("s.hashes").alias("hashes"))
+        sets = texts.withColumn("s", full_set("text")).where("s.digest = _digest").select("node", "s.hashes", "s.bits")
         sets = stored(sets.dropDuplicates(["node"]), "near-sets")
 
         def shingles_of(nodes: DataFrame) -> DataFrame:
@@ -147,12 +157,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             met = kept(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
             few = met.count() <= BROADCAST_WANTED
             # only the sets of the pairs' nodes are shuffled
-            used = sets.join(F.broadcast(met) if few else met, "node", "left_semi")
+            used = sets.drop("bits").join(F.broadcast(met) if few else met, "node", "left_semi")
             both = pairs.join(used.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(used.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
             return both.select("a", "b", "x", "y").mapInPandas(test, "a bigint, b bigint")
 
-        sizes = classes.select("node", F.col("n").cast("long").alias("n"))
-        roots = linked_components(buckets, sizes, shingles_of, verify, percent)
+        sizes = sets.select("node", F.size("hashes").cast("long").alias("n"), "bits")
+        roots = linked_components(buckets, sizes, shingles_of, verify, percent, words=BIT_WORDS)
         rooted = classes.select("node", "digest", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("component", "node"))
         least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
         known = stored(rooted.select("digest", "root").join(least, "root").select("digest", "component_id"), "near-components")
