@@ -2,53 +2,80 @@
 
 A line's shingles are the WIDTH characters from each place of its lower-case
 form on, so that every character lies in one; a shorter line is one shingle.
-One pass explodes the shingles and takes, by line digest, COORDINATES minima
+They are cut out of the line's UTF-32 bytes, where a place is found without
+counting through the line.  One pass explodes them and takes, by line digest, COORDINATES minima
 of the shingle hash under different masks, which the map side combines, so
 equal lines meet as one row.  The bands are the lines of the affine plane of
-order 4 over the 16 coordinates: any two bands share at most one coordinate,
-and all 20 together find 99.5 % of the pairs of similarity 0.8, 99.94 % at
-0.85 and 99.99 % at 0.9.  The Jaccard similarity of the full shingle sets
+order 5 over the 25 coordinates: any two bands share at most one coordinate,
+and all 30 together find 99.8 % of the pairs of similarity 0.8, 99.98 % at
+0.85.  Bitmaps rule out unlike pairs exactly, the Jaccard similarity of the full shingle sets
 confirms the links, and union-find makes components, of which the first line
 stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import linked_components, shared_buckets
+from courtline.session import scoped_conf
+
+from .components import kept, linked_components, shared_buckets
 from .storage import stored
 
 WIDTH = 5
-COORDINATES = 16
+ORDER = 5  # a prime
+COORDINATES = ORDER * ORDER
 PERCENT = 80
-#: A match takes one character; its group is the shingle that begins there.
-SHINGLE = r"(?s)(?=(.{%d}|\A.{1,%d}\z))."
+BIT_WORDS = 16
+CHUNK = 1 << 16  # shingles of a line that are exploded at a time
+LONG_LINE = 200_000  # characters from which on a line's set is never held as one array
 SEED = 71
 NO_ID = (1 << 63) - 1  # stands for a null id, which comes last
 BROADCAST_LINES = 500_000  # affected lines (some 60 bytes each) that may be broadcast
-
-
-def _times(a: int, b: int) -> int:
-    """Product in the field of four elements (polynomials modulo x*x + x + 1)."""
-    product = (a if b & 1 else 0) ^ (a << 1 if b & 2 else 0)
-    return product ^ 7 if product & 4 else product
+#: A job's shuffles are of no use once its result is stored.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def plane() -> list[list[int]]:
-    """The 20 lines of the affine plane of order 4; point (x, y) is 4 * x + y."""
-    sloped = [[4 * x + (_times(m, x) ^ b) for x in range(4)] for m in range(4) for b in range(4)]
-    return sloped + [[4 * c + y for y in range(4)] for c in range(4)]
+    """The 30 lines of the affine plane of order 5; point (x, y) is 5 * x + y."""
+    sloped = [[ORDER * x + (m * x + b) % ORDER for x in range(ORDER)] for m in range(ORDER) for b in range(ORDER)]
+    return sloped + [[ORDER * c + y for y in range(ORDER)] for c in range(ORDER)]
 
 
 def _masks() -> list[int]:
     """XOR masks for 32-bit hashes with different leading bits: each coordinate looks at its own part of the hashes."""
-    return [(k << 28) | (0x9E3779B1 * (k + 1) & (1 << 28) - 1) for k in range(COORDINATES)]
-
-
-def shingle_list(line) -> F.Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(SHINGLE % (WIDTH, WIDTH - 1)), F.lit(1))
+    return [(k << 27) | (0x9E3779B1 * (k + 1) & (1 << 27) - 1) for k in range(COORDINATES)]
+
+
+def _codes(line: str) -> Column:
+    return F.encode(F.lower(line), "UTF-32")
+
+
+def shingle_rows(lines: DataFrame, line: str = "line") -> DataFrame:
+    """The further columns of ``lines`` with h, a row for each place of a shingle, and whether it is the line's first."""
+    further = [c for c in lines.columns if c != line]
+    coded = lines.select(*further, _codes(line).alias("codes"))
+    last = f"greatest(octet_length(codes) div 4 - {WIDTH}, 0)"
+    parts = coded.select(*further, "codes", F.explode(F.expr(f"sequence(0, int({last}), {CHUNK})")).alias("at"))
+    # a chunk's bytes end with those that its last shingle needs
+    parts = parts.select(*further, "at", F.expr(f"substring(codes, 4 * at + 1, {4 * (CHUNK + WIDTH - 1)})").alias("codes"))
+    places = parts.select(*further, "at", "codes", F.explode(F.expr(f"sequence(0, int({last}))")).alias("k"))
+    return places.select(*further, F.expr(f"xxhash64(substring(codes, 4 * k + 1, {4 * WIDTH}))").alias("h"), F.expr("at + k = 0").alias("begins"))
+
+
+def shingle_set(line: str) -> Column:
+    """The distinct shingle hashes of a line as an array."""
+    # bound to a name, so that the line is encoded once and not once per shingle
+    return F.array_distinct(
+        F.transform(
+            F.array(_codes(line)),
+            lambda c: F.transform(
+                F.sequence(F.lit(0), F.greatest((F.octet_length(c) / 4).cast("int") - WIDTH, F.lit(0))),
+                lambda k: F.xxhash64(F.substring(c, 4 * k + 1, F.lit(4 * WIDTH))),
+            ),
+        )[0]
+    )
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,10 +91,9 @@ def line_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """w1, w2 (the hashes), root, keep_doc for the lines that have copies, exact or
     fuzzy; keep_doc is the first document that holds a line of the component."""
     rows = lines_of(docs, id_col, text_col)
-    exploded = rows.select("h1", "h2", "doc_id", F.posexplode(shingle_list(F.col("line"))).alias("k", "shingle"))
-    hashed = exploded.withColumn("h", F.shiftrightunsigned(F.xxhash64("shingle"), 32))
-    minima = [F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(_masks())]
-    classes = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.sum(F.when(F.col("k") == 0, 1).otherwise(0)).alias("n"), *minima)
+    hashed = shingle_rows(rows.select("h1", "h2", "doc_id", "line")).withColumn("h", F.shiftrightunsigned("h", 32))
+    minima = [(F.min(F.col("h").bitwiseXOR(F.lit(m))) - (1 << 31)).cast("int").alias(f"m{k}") for k, m in enumerate(_masks())]
+    classes = hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count_if("begins").alias("n"), *minima)
     # numbered as they are written: later jobs may split the files otherwise
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "line-classes")
     bands = [F.xxhash64(F.lit(b), *(F.col(f"m{p}") for p in points)) for b, points in enumerate(plane())]
@@ -77,20 +103,36 @@ def line_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = wanted.count() <= BROADCAST_LINES
     same_line = (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2"))
     found = rows.join(F.broadcast(wanted) if small else wanted, same_line & (F.col("doc_id") == F.col("first")))
-    texts = stored(found.dropDuplicates(["node"]).select("node", "line", F.size(F.array_distinct(shingle_list(F.col("line")))).cast("long").alias("n")), "line-texts")
+    is_long = F.length("line") > LONG_LINE
+    texts = stored(found.dropDuplicates(["node"]).select("node", "line", is_long.alias("long")), "line-texts")
 
     def shingles_of(nodes: DataFrame) -> DataFrame:
-        lists = texts.join(nodes, "node", "left_semi").select("node", F.explode(F.array_distinct(shingle_list(F.col("line")))).alias("shingle"))
-        return lists.select("node", F.xxhash64("shingle").alias("shingle"))
+        lines = texts.join(nodes, "node", "left_semi")
+        short = lines.where("not long").select("node", F.explode(shingle_set("line")).alias("shingle"))
+        return short.unionByName(shingle_rows(lines.where("long").select("node", "line")).select("node", F.col("h").alias("shingle")).distinct())
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
-        both = left.join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-        same = F.size(F.array_intersect(shingle_list(F.col("x")), shingle_list(F.col("y"))))
+        pairs = kept(pairs)
+        met = kept(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        few = met.count() <= BROADCAST_LINES
+        # only the lines of the pairs' nodes are shuffled, long ones not at all
+        used = texts.join(F.broadcast(met) if few else met, "node", "left_semi").select("node", F.when(~F.col("long"), F.col("line")).alias("line"))
+        both = pairs.join(used.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(used.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
         # 100 * same >= PERCENT * (na + nb - same), with ``same`` worked out once
-        return both.where((100 + PERCENT) * same >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
-
-    roots = linked_components(buckets, texts.select("node", "n"), shingles_of, verify, PERCENT, crowd=2)
+        enough = f"{100 + PERCENT} * same >= {PERCENT} * (na + nb)"
+        linked = both.where("x is not null and y is not null").withColumn("same", F.size(F.array_intersect(shingle_set("x"), shingle_set("y")))).where(enough)
+        if not has_long:
+            return linked.select("a", "b")
+        apart = kept(both.where("x is null or y is null").select("a", "b", "na", "nb"))
+        sets = shingles_of(apart.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        left = apart.join(sets.select(F.col("node").alias("a"), "shingle"), "a")
+        shared = left.join(sets.select(F.col("node").alias("b"), "shingle"), ["b", "shingle"]).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("same"))
+        return linked.select("a", "b").unionByName(shared.where(enough).select("a", "b"))
+
+    has_long = bool(texts.where("long").take(1))
+    words = [F.bit_or(F.expr(f"if((shingle >> 6) & {BIT_WORDS - 1} = {w}, 1L << int(shingle & 63), 0L)")) for w in range(BIT_WORDS)]
+    sizes = stored(shingles_of(texts).groupBy("node").agg(F.count("*").alias("n"), F.array(*words).alias("bits")), "line-sizes")
+    roots = linked_components(buckets, sizes, shingles_of, verify, PERCENT, words=BIT_WORDS)
     rooted = classes.select("node", "h1", "h2", "first", "n").join(F.broadcast(roots) if roots.count() <= BROADCAST_LINES else roots, "node", "left")
     repeated = rooted.where("n > 1 or component is not null").withColumn("root", F.coalesce("component", "node"))
     least = repeated.groupBy("root").agg(F.min("first").alias("keep_doc"))
@@ -119,7 +161,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     0 and 1 lines; a text whose lines all go becomes empty.  Columns named
     n_lines or n_dropped are replaced, all others kept."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    drops = dropped_lines(docs, id_col, text_col).withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
+    with scoped_conf(docs.sparkSession, FREE_SHUFFLES):
+        drops = stored(dropped_lines(docs, id_col, text_col), "line-drops")
+    drops = drops.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
     rows = docs.select(*names, F.xxhash64(text_col).alias("_hash"))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     joined = rows.join(drops, (key == F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash")), "left")
