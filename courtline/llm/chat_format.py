@@ -54,19 +54,35 @@ def _calls(messages: DataFrame, schemas: Schema) -> DataFrame:
     shaped = parsed.withColumn("args_json", F.expr("to_json(args)")).withColumn("args", F.expr("case when schema_of_variant(args) like 'OBJECT%' then args end"))
     keyed = shaped.withColumn("keys", F.expr("case when args is not null then json_object_keys(args_json) end"))
     checked = keyed.withColumn("problems", _problems(schemas)).drop("args", "keys")
-    return checked.withColumn("refs", F.array_distinct(F.coalesce(F.regexp_extract_all("args_json", F.lit(r'\{"\$ref":"([^"\\]+)"\}'), F.lit(1)), F.array())))
+    # an escaped quote cannot end the text, and within a JSON text no bare quote begins one
+    quoted = F.regexp_extract_all("args_json", F.lit(r'\{"\$ref":("(?:[^"\\]|\\.)+")\}'), F.lit(1))
+    plain = F.transform(quoted, lambda x: F.try_variant_get(F.try_parse_json(x), "$", "string"))
+    return checked.withColumn("refs", F.array_distinct(F.coalesce(plain, F.array())))
 
 
 def _same_call(id_column: str) -> Column:
     return F.col("conv_id").eqNullSafe(F.col("k_conv")) & (F.col(id_column) == F.col("k_id"))
 
 
+def _in_cycles(edges: DataFrame, waiting: DataFrame) -> DataFrame:
+    """Those of the ``waiting`` calls that stay when calls to which none of the rest refers are peeled off."""
+    left = waiting.count()
+    while True:
+        inner = edges.join(waiting.select("k_conv", "k_id"), _same_call("call_id"), "left_semi")
+        named = inner.select(F.col("conv_id").alias("o_conv"), F.col("ref").alias("o_id")).distinct()
+        waiting = stored(waiting.join(named, F.col("k_conv").eqNullSafe(F.col("o_conv")) & (F.col("k_id") == F.col("o_id")), "left_semi"), "chat-cycles")
+        before, left = left, waiting.count()
+        if left == before:
+            return waiting
+
+
 def call_levels(calls: DataFrame) -> DataFrame:
     """k_conv, k_id, level, key of all calls with an id: the length of the
     longest chain of references below a call, and the last turn in that chain.
 
-    Each round places the calls whose references are all placed; calls that
-    are left when a round places none refer to each other in a cycle."""
+    Each round places the calls whose references are all placed.  When a round
+    places none, the calls that lie in a cycle, or between two, are placed at
+    level CYCLE; calls that merely refer to them follow in later rounds."""
     known = calls.where("call_id is not null").groupBy(F.col("conv_id").alias("k_conv"), F.col("call_id").alias("k_id")).agg(F.min("turn").alias("turn"))
     edges = calls.where("call_id is not null").select("conv_id", "call_id", F.explode("refs").alias("ref")).distinct()
     edges = edges.join(known.select("k_conv", "k_id"), _same_call("ref"), "left_semi")
@@ -82,7 +98,7 @@ def call_levels(calls: DataFrame) -> DataFrame:
         new = waiting.join(ready, F.col("k_conv").eqNullSafe(F.col("e_conv")) & (F.col("k_id") == F.col("e_id")))
         new = stored(new.selectExpr("k_conv", "k_id", "below + 1 as level", "greatest(turn, last) as key"), "chat-levels")
         if not new.take(1):
-            return placed.unionByName(waiting.selectExpr("k_conv", "k_id", f"{CYCLE} as level", "turn as key"))
+            new = stored(_in_cycles(edges, waiting).selectExpr("k_conv", "k_id", f"{CYCLE} as level", "turn as key"), "chat-levels")
         done = new.select(F.col("k_conv").alias("o_conv"), F.col("k_id").alias("o_id"))
         placed = placed.unionByName(new)
         waiting = stored(waiting.join(done, is_owner, "left_anti"), "chat-waiting")

@@ -57,6 +57,28 @@ def test_problems_are_named(spark):
     assert found["d"] == [["unknown reference"]] and found["e"] == [["repeated id"], ["repeated id"]]
 
 
+def test_only_calls_within_a_cycle_are_named_so(spark):
+    refers = {"a": "b", "b": "a", "c": "a", "d": "c", "self": "self"}
+    rows = [(1, 9 - n, "assistant", call(id=k, name="answer", arguments={"source": {"$ref": v}})) for n, (k, v) in enumerate(refers.items())]
+    got = {r.call_id: r for r in events(spark, rows) if r.kind == "call"}
+    assert {k for k, r in got.items() if "cycle" in r.problems} == {"a", "b", "self"}
+    assert all(list(got[k].problems) == [] for k in "cd")
+    assert got["a"].seq < got["c"].seq < got["d"].seq
+
+
+def test_references_with_quotes_and_backslashes(spark):
+    odd = 'p"q\\r'
+    rows = [
+        (1, 0, "assistant", call(id="user", name="answer", arguments={"source": {"$ref": odd}})),
+        (1, 1, "assistant", call(id=odd, name="answer", arguments={"source": "s"})),
+        (1, 2, "assistant", call(id="lost", name="answer", arguments={"source": {"$ref": 'x"y'}})),
+        (1, 3, "assistant", call(id="told", name="answer", arguments={"source": 'a {"$ref":"gone"} within a text'})),
+    ]
+    got = {r.call_id: r for r in events(spark, rows) if r.kind == "call"}
+    assert got[odd].seq < got["user"].seq and list(got["user"].problems) == []
+    assert list(got["lost"].problems) == ["unknown reference"] and list(got["told"].problems) == []
+
+
 def test_odd_rows(spark):
     long = "word " * 50_000
     rows = [(None, None, None, None), (None, 0, "user", ""), (3, 1, "user", long), (3, 1, "user", long), (3, None, "tool", "oops"), (3, 2, "assistant", None)]
