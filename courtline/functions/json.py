@@ -8,7 +8,10 @@ silently turn a quoted number into NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed document shapes of the three raw tables (leaf names as the API emits them).
@@ -31,6 +34,7 @@ TEAM_STATS_DDL = (
 )
 # A landed API response: {"data": [document, ...]}; each document stays text.
 RESPONSE_DDL = "data ARRAY<STRING>"
+BROKEN = "_broken"  # holds the text of a document that does not fit its schema
 
 
 def parse_json(text: Column, ddl: str) -> Column:
@@ -42,6 +46,20 @@ def parse_json(text: Column, ddl: str) -> Column:
     return F.from_json(checked, ddl, {"mode": "FAILFAST"})
 
 
+def parse_documents(raw: DataFrame, ddl: str, ints: Sequence[str]) -> DataFrame:
+    """partition_date with typed (``ints`` are INT) or, where that is NULL, doc (as of ``parse_json``).
+
+    Spark writes a number out again to read it as text, which takes longer than all else, so
+    documents are parsed with INT fields first. One with anything but an INT or null in such a
+    field (a quoted number, a fraction, broken text) is parsed as text instead: what it
+    gives, or raises, is up to ``parse_json`` and the casts alone."""
+    typed = re.sub(rf"\b({'|'.join(ints)}) STRING", r"\1 INT", ddl)
+    found = F.from_json("data", f"{typed}, {BROKEN} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    rows = raw.select("partition_date", "data", found.alias("found"))
+    usual = F.col("found").isNotNull() & F.col(f"found.{BROKEN}").isNull()
+    return rows.select("partition_date", F.when(usual, F.col("found")).alias("typed"), F.when(~usual, parse_json(F.col("data"), ddl)).alias("doc"))
+
+
 def json_text(doc: Column, *path: str) -> Column:
     """``doc->'a'->>'b'``: a (nested) field of a parsed document as text;
     an absent key or JSON null gives NULL."""

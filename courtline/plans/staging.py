@@ -7,7 +7,7 @@ fields are read from the resulting struct.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.json import (
@@ -17,6 +17,7 @@ from courtline.functions.json import (
     json_float,
     json_int,
     json_text,
+    parse_documents,
     parse_json,
 )
 from courtline.functions.scalar import guarded_ratio
@@ -73,15 +74,20 @@ _PLAYER_INTS = [
 
 def stg_player_stats(raw: DataFrame) -> DataFrame:
     """Player box scores with guarded shooting rates (0.0 on zero attempts)."""
-    doc = F.col(_DOC)
-    typed = _parsed(raw, PLAYER_STATS_DDL).select(
-        json_text(doc, "id").alias("stat_id"),
-        json_text(doc, "game_id").alias("game_id"),
-        json_text(doc, "player_id").alias("player_id"),
-        json_text(doc, "team", "abbreviation").alias("team"),
+    parsed = parse_documents(raw, PLAYER_STATS_DDL, [src for src, _ in _PLAYER_INTS])
+    usual, doc = F.col("typed"), F.col("doc")
+
+    def text(*path: str) -> Column:
+        return F.coalesce(json_text(usual, *path), json_text(doc, *path))
+
+    typed = parsed.select(
+        text("id").alias("stat_id"),
+        text("game_id").alias("game_id"),
+        text("player_id").alias("player_id"),
+        text("team", "abbreviation").alias("team"),
         F.col("partition_date").cast("date").alias("game_date"),
-        json_text(doc, "min").alias("minutes_played"),
-        *[json_int(doc, src).alias(dst) for src, dst in _PLAYER_INTS],
+        text("min").alias("minutes_played"),
+        *[F.coalesce(usual.getField(src), json_int(doc, src)).alias(dst) for src, dst in _PLAYER_INTS],
     )
     c = F.col
     return typed.select(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import round_half_away
-from courtline.plans import chain, marts, materialize
+from courtline.plans import chain, marts, materialize, staging
 from courtline.plans.reports import rank_players
 from courtline.session import scratch_path
 from courtline.sinks import manifest
@@ -139,13 +139,13 @@ def incremental_rankings_job(spark: SparkSession, sf_root: str) -> DataFrame:
     base = scratch_path(spark, "states")
     staging_root, states_root = os.path.join(base, "staging"), os.path.join(base, "states")
     path = os.path.join(staging_root, "player_stats")
-    stats = chain.stg_player_stats(spark, sf_root)
-    stats.write.parquet(os.path.join(base, "source"))
-    stats = spark.read.schema(stats.schema).parquet(os.path.join(base, "source"))
-    first = [r[0] for r in stats.select("game_date").distinct().orderBy("game_date").take(20)]
+    # read anew for the twenty days: their documents alone are parsed twice, and no copy of all days is kept
+    documents = chain.raw(spark, sf_root, "player_stats")
+    first = [r[0] for r in documents.select("partition_date").distinct().orderBy("partition_date").take(20)]
     open_day = F.col("game_date").isin(first)
-    early = stats.withColumn("assists", F.when(open_day, 0).otherwise(F.col("assists")).cast("int"))
-    for rows in (early, stats.where(open_day)):
+    early = staging.stg_player_stats(documents).withColumn("assists", F.when(open_day, 0).otherwise(F.col("assists")).cast("int"))
+    again = staging.stg_player_stats(documents.where(F.col("partition_date").isin(first)))
+    for rows in (early, again):
         write_partitions(rows, path, col="game_date")
         build_states(spark, staging_root, states_root)
     return rank_players(merged_aggregates(read_states(spark, states_root)))
