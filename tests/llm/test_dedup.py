@@ -9,7 +9,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from courtline.llm.components import connected_components, linked_components
+from courtline.llm.components import _bounded_rows, connected_components, linked_components
 from courtline.llm.exact_dedup import build_hash, exact_dedup, slots
 from courtline.llm.line_dedup import dedup_lines
 from courtline.llm.near_dedup import drop_near_duplicates, near_duplicates, signature
@@ -193,3 +193,19 @@ def test_line_dedup_of_fuzzy_and_repeated_lines(spark):
 def test_line_dedup_runs_no_python(spark, small):
     plan = dedup_lines(small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_only_rows_with_hope_get_their_bitmap(spark, monkeypatch):
+    """Bitmaps are not stored with each bucket row before hopeless nodes have left."""
+    stored_rows = []
+
+    def spy(df):
+        stored_rows.append(df.schema.simpleString())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr("courtline.llm.components.kept", spy)
+    buckets = spark.createDataFrame([(7, 1), (7, 2), (8, 3), (8, 4)], "bucket long, node long")
+    nodes = spark.createDataFrame([(1, 10, [3]), (2, 10, [3]), (3, 10, [3]), (4, 2, [3])], "node long, n long, bits array<bigint>")
+    rows = _bounded_rows(buckets, nodes, lambda some: spark.createDataFrame([], "node long, shingle long"), 80, 16)
+    assert sorted((r.bucket, r.node, r.z.n, r.z.bits, r.z.s) for r in rows.collect()) == [(7, 1, 10, [3], 10), (7, 2, 10, [3], 10), (8, 3, 10, [3], 10), (8, 4, 2, [3], 2)]
+    assert ["bits" in s for s in stored_rows] == [False, False, True]
