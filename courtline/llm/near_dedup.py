@@ -135,7 +135,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         # numbered as they are written: later jobs may split the files otherwise
         classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
         keyed = classes.select("node", F.explode("bands").alias("bucket"))
-        buckets = stored(shared_buckets(keyed), "near-buckets")  # a set's bands differ, so rows are distinct
+        buckets = shared_buckets([keyed])  # a set's bands differ, so rows are distinct
         wanted = buckets.select("node").distinct().join(classes.select("node", F.col("digest").alias("_digest"), "first_id"), "node")
         wanted = stored(wanted, "near-wanted")
         small = wanted.count() <= BROADCAST_WANTED
