@@ -22,8 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtline.session import scoped_conf
+
 from .components import kept, linked_components, shared_buckets
-from .storage import small_batches, stored
+from .storage import LITTLE_DISK, freed, settled, small_batches, stored
 from .worker import cache
 
 BANDS, ROWS = 20, 5  # a pair of similarity 0.85 shares a band but for 1 in 100,000
@@ -34,6 +36,7 @@ CACHE_WORDS = 100_000
 BROADCAST_GONE = 500_000  # dropped rows (16 bytes each) that may be broadcast
 BROADCAST_WANTED = 500_000  # rows of a candidate (some 40 bytes each) that may be broadcast
 RUN = 8192  # shingles whose runs are held at a time
+BAND_PARTS = 2  # in which the bands' buckets are shuffled, one after the other
 
 _pi: dict[int, np.ndarray] = {}
 
@@ -129,13 +132,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         return pd.DataFrame({"digest": digests, "hashes": [np.sort(s.view(np.int64)) for s in sets], "bits": [bitmap(s) for s in sets]})
 
-    with small_batches(docs.sparkSession):
-        described = stored(slim.withColumn("d", describe("text")).select("id", F.xxhash64("text").alias("text_hash"), "d.*"), "near-described")
+    def components() -> DataFrame:
         classes = described.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
         # numbered as they are written: later jobs may split the files otherwise
-        classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-        keyed = classes.select("node", F.explode("bands").alias("bucket"))
-        buckets = shared_buckets([keyed])  # a set's bands differ, so rows are distinct
+        signed = stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-signatures")
+        classes = stored(signed.drop("bands", "n"), "near-classes")
+        part = lambda k: F.filter("bands", lambda _, at: at % BAND_PARTS == k)
+        # a set's bands differ, so rows are distinct
+        buckets = settled(lambda: shared_buckets([signed.select("node", F.explode(part(k)).alias("bucket")) for k in range(BAND_PARTS)]), "near-buckets")
+        freed(signed)
         wanted = buckets.select("node").distinct().join(classes.select("node", F.col("digest").alias("_digest"), "first_id"), "node")
         wanted = stored(wanted, "near-wanted")
         small = wanted.count() <= BROADCAST_WANTED
@@ -144,6 +149,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         texts = stored(texts.select("node", "_digest", "text"), "near-texts")
         sets = texts.withColumn("s", full_set("text")).where("s.digest = _digest").select("node", "s.hashes", "s.bits")
         sets = stored(sets.dropDuplicates(["node"]), "near-sets")
+        freed(texts)
 
         def shingles_of(nodes: DataFrame) -> DataFrame:
             return sets.join(nodes, "node", "left_semi").select("node", F.explode("hashes").alias("shingle"))
@@ -165,7 +171,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         roots = linked_components(buckets, sizes, shingles_of, verify, percent, words=BIT_WORDS)
         rooted = classes.select("node", "digest", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("component", "node"))
         least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-        known = stored(rooted.select("digest", "root").join(least, "root").select("digest", "component_id"), "near-components")
+        return rooted.select("digest", "root").join(least, "root").select("digest", "component_id")
+
+    with small_batches(docs.sparkSession), scoped_conf(docs.sparkSession, LITTLE_DISK):
+        described = stored(slim.withColumn("d", describe("text")).select("id", F.xxhash64("text").alias("text_hash"), "d.*"), "near-described")
+        known = settled(components, "near-components")
     result = described.select("id", "text_hash", "n_shingles", "digest").join(known, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return result.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtline.llm import components
 from courtline.llm.components import linked_components, shared_buckets
 from courtline.llm.line_dedup import dedup_lines
+from courtline.llm.near_dedup import near_duplicates
 from courtline.llm.storage import freed, settled, stored
 from courtline.session import scratch_root
 from tests.llm.conftest import SCHEMA
@@ -45,6 +46,12 @@ def test_line_dedup_leaves_its_drops_only(spark, copies):
     assert sorted(t.rpartition("-")[0] for t in tables(spark) - before) == ["line-drops"]
 
 
+def test_near_duplicates_leave_two_tables(spark, copies):
+    before = tables(spark)
+    assert near_duplicates(copies, width=3, percent=60).where("kept").count() == 1
+    assert sorted(t.rpartition("-")[0] for t in tables(spark) - before) == ["near-components", "near-described"]
+
+
 def test_buckets_are_shared_within_parts(spark):
     parts = [spark.createDataFrame(rows, "bucket long, node long") for rows in ([(1 << 40, 1), (1 << 40, 2), (2, 3), (3, 4)], [(-5, 1), (-5, 3), (-5, 4), (-6 << 30, 2)])]
     got = sorted(map(tuple, shared_buckets(parts).select("bucket", "node").collect()))
