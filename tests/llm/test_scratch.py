@@ -1,11 +1,12 @@
 """Tables that the deduplications need on the way do not stay on disk."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from courtline.llm import components
+from courtline.llm import components, line_dedup
 from courtline.llm.components import linked_components, shared_buckets
 from courtline.llm.line_dedup import dedup_lines
 from courtline.llm.near_dedup import near_duplicates
@@ -92,3 +93,63 @@ def test_edges_of_a_round_are_verified_once(spark):
     shared = lambda some: some.withColumn("shingle", F.lit(5).cast("long"))
     got = linked_components(buckets, nodes, shared, verify, 80).collect()
     assert {r.component for r in got} == {0} and verified.value <= 15
+
+
+def test_near_copies_that_meet_many_hubs_are_verified_in_two_steps(spark):
+    """Twenty buckets of the same thirty nodes, each with a hub of its own: one pair per node settles them."""
+    verified = spark.sparkContext.accumulator(0)
+
+    def verify(pairs):
+        def all_linked(frames):
+            for frame in frames:
+                verified.add(len(frame))
+                yield frame[["a", "b"]]
+
+        return pairs.mapInPandas(all_linked, "a bigint, b bigint")
+
+    buckets = spark.createDataFrame([(b, n) for b in range(20) for n in (*range(30), 100 + b)], "bucket long, node long")
+    nodes = buckets.select("node").distinct().withColumn("n", F.lit(1).cast("long"))
+    shared = lambda some: some.withColumn("shingle", F.lit(5).cast("long"))
+    got = linked_components(buckets, nodes, shared, verify, 80).collect()
+    assert len(got) == 50 and {r.component for r in got} == {0} and verified.value <= 50
+
+
+def test_no_link_is_lost_among_shared_buckets(spark, monkeypatch):
+    """Rounds of two nodes, in which nodes share several buckets, against brute force."""
+    monkeypatch.setattr(components, "GROWTH", 2)
+    monkeypatch.setattr(components, "PAIRS_PER_ROW", 0)
+    monkeypatch.setattr(components, "MANY_PAIRS", 1)
+    rng = random.Random(5)
+    held = {b: rng.sample(range(40), 14) for b in range(8)}
+    root = list(range(40))
+    for a in range(39):
+        if any(a in h and a + 1 in h for h in held.values()):
+            root = [root[a] if r == root[a + 1] else r for r in root]
+    buckets = spark.createDataFrame([(b, n) for b, h in held.items() for n in h], "bucket long, node long")
+    nodes = spark.createDataFrame([(n, 10) for n in range(40)], "node long, n long")
+    shared = lambda some: some.withColumn("shingle", F.lit(5).cast("long"))
+    got = linked_components(buckets, nodes, shared, lambda pairs: pairs.where("b - a = 1").select("a", "b"), 80).collect()
+    assert {r.node: r.component for r in got if r.node != r.component} == {n: r for n, r in enumerate(root) if n != r}
+
+
+def test_texts_are_fetched_for_possible_links_only(spark, monkeypatch):
+    """Lines that share a bucket but differ too much are ruled out before their text is read again."""
+    fetched = []
+
+    def spied(make):
+        def spy(df, *name):
+            if "line" in df.columns:
+                fetched.append(df.count())
+            return make(df, *name)
+
+        return spy
+
+    for name in ("stored", "kept"):
+        monkeypatch.setattr(line_dedup, name, spied(getattr(line_dedup, name)))
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    lines = [start + letters(20) for start in (letters(40) for _ in range(20)) for _ in range(3)]
+    copies = ["a line with a near copy of many words here", "a line with a near copy of many words here."]
+    docs = spark.createDataFrame([(k, x, None, None) for k, x in enumerate(lines + copies)], SCHEMA)
+    assert [r.doc_id for r in dedup_lines(docs).where("n_dropped > 0").collect()] == [61]
+    assert sum(fetched) <= 4
