@@ -1,5 +1,8 @@
 """Line dedup against brute force on lines that differ late in a word or in one letter."""
 
+import random
+
+from courtline.llm import line_dedup
 from courtline.llm.line_dedup import dedup_lines
 from tests.llm.conftest import SCHEMA
 from tests.llm.test_dedup import brute_lines
@@ -33,3 +36,21 @@ def test_short_lines_with_one_letter_changed(spark):
     rows += [(10 + n, line[:40] + "#" + line[41:], None, None) for n, line in enumerate(lines)]
     got = check_lines(spark.createDataFrame(rows, SCHEMA))
     assert sorted(r.doc_id for r in got if r.n_dropped) == [10, 11, 12]
+
+
+def test_wider_bitmaps_lose_no_link(spark, monkeypatch):
+    """Lines around the threshold, with wider bitmaps ahead of their sets, against brute force."""
+    rng = random.Random(11)
+    letters = [rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(120)]
+
+    def changed(places):
+        line = list(letters)
+        for at in rng.sample(range(120), places):
+            line[at] = rng.choice("0123456789")
+        return "".join(line)
+
+    rows = [(n, changed(n % 5), None, None) for n in range(60)] + [(60, "".join(letters) * 30, None, None), (61, "Ab", None, None), (62, "aB", None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(line_dedup, "FINE_PAIRS", 0)
+    monkeypatch.setattr(line_dedup, "LONG_LINE", 1000)
+    assert 20 < sum(r.n_dropped for r in check_lines(docs)) < 62

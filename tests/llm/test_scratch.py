@@ -153,3 +153,18 @@ def test_texts_are_fetched_for_possible_links_only(spark, monkeypatch):
     docs = spark.createDataFrame([(k, x, None, None) for k, x in enumerate(lines + copies)], SCHEMA)
     assert [r.doc_id for r in dedup_lines(docs).where("n_dropped > 0").collect()] == [61]
     assert sum(fetched) <= 4
+
+
+def test_shingles_are_counted_in_open_buckets_only(spark):
+    """Crowded buckets that one round of pairs makes one component need no shingles."""
+    counted = []
+
+    def shingles_of(some):
+        counted.append(some.count())
+        return some.withColumn("shingle", F.lit(5).cast("long"))
+
+    buckets = spark.createDataFrame([(b, 40 * b + n) for b in range(3) for n in range(40)], "bucket long, node long")
+    nodes = buckets.select("node", F.lit(1).cast("long").alias("n"))
+    got = linked_components(buckets, nodes, shingles_of, lambda pairs: pairs.where("a >= 40").select("a", "b"), 80, crowd=16).collect()
+    assert {r.node: r.component for r in got} == {n: n // 40 * 40 for n in range(40, 120)}
+    assert counted == [39]  # of the open bucket, less its hub
