@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from courtline.llm.packing import best_fit, pack
+from courtline.llm import packing
+from courtline.llm.packing import best_fit, pack, packing_plan
 from courtline.llm.token_counts import token_counts
 from courtline.llm.words import id_cache, length_cache
 
@@ -98,6 +99,39 @@ def test_packing_fills_sequences(small):
     assert used <= 1.05 * bound + 1  # ten documents a task: the merges do most of the packing
 
 
+def test_packing_goes_on_beyond_a_tasks_bins(small, odd, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_BINS", 1)
+    used, bound = check_packing(small.repartition(20))
+    assert used <= 1.05 * bound + 1
+    check_packing(odd.repartition(3), capacity=64)
+
+
+def test_merging_goes_on_after_a_round_that_saves_nothing(spark, monkeypatch):
+    # 90 tokens each in the first four tasks, 30 in the last: nothing to save until they meet
+    monkeypatch.setattr(packing, "FAN_IN", 2)
+    texts = [" ".join(["a"] * (89 if k < 4 else 29)) for k in range(5)]
+    docs = spark.sparkContext.parallelize([(k, t) for k, t in enumerate(texts)], 5).toDF("doc_id long, text string")
+    used, _ = check_packing(docs, capacity=120)
+    assert used == 4
+
+
+def test_plan_packs_as_best_fit_does():
+    rng = random.Random(5)
+    for capacity in (7, 50, 300):
+        for _ in range(60):
+            sizes = [rng.randint(1, rng.choice([capacity - 1, 5])) for _ in range(rng.randint(1, 200))]
+            counts = {s: sizes.count(s) for s in sizes}
+            fills, ranks = defaultdict(int), defaultdict(list)
+            for size, first, last, each, base in packing_plan(counts, capacity):
+                ranks[size] += range(first, last + 1)
+                for rank in range(first, last + 1):
+                    fills[base + (rank - first) // each] += size
+            assert {s: len(r) for s, r in ranks.items()} == counts
+            assert all(sorted(r) == list(range(len(r))) for r in ranks.values())
+            wanted = best_fit([(n, i, [{"length": n}]) for i, n in enumerate(sizes)], capacity)
+            assert sorted(fills.values()) == sorted(f for f, _ in wanted)
+
+
 def test_packing_of_odd_rows(odd, none):
     check_packing(odd.withColumn("piece", F.lit("clash")), capacity=64)
     assert pack(none, PATH).count() == 0
