@@ -54,3 +54,30 @@ def test_wider_bitmaps_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "FINE_PAIRS", 0)
     monkeypatch.setattr(line_dedup, "LONG_LINE", 1000)
     assert 20 < sum(r.n_dropped for r in check_lines(docs)) < 62
+
+
+def test_repetitive_lines_meet_short_ones(spark, monkeypatch):
+    """Lines of few shingles and any number of places, and lines around the sizes at which the bands change."""
+    rng = random.Random(13)
+    lines = ["-" * n for n in (20, 90, 500)] + ["---- x ----", "-" * 130 + " x " + "-" * 130, "ab" * 30, "ab" * 400]
+    for size in (30, 40, 44, 60, 80, 84, 90, 150):
+        letters = [rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)]
+        for at in (0, size // 2, size - 1):
+            lines.append("".join(letters[:at] + ["#"] + letters[at:]))
+        lines.append("".join(letters) * 9)
+    docs = spark.createDataFrame([(n, line, None, None) for n, line in enumerate(lines)], SCHEMA)
+    monkeypatch.setattr(line_dedup, "LONG_LINE", 450)
+    check_lines(docs)
+
+
+def test_a_lines_places_are_summed_by_cell(spark):
+    """One row for each cell of a line, not a wide row of minima for each place; unlike lines share no band."""
+    rng = random.Random(17)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in (30, 60, 300, 3000)]
+    docs = spark.createDataFrame([(n, f"{line}\n{line}", None, None) for n, line in enumerate(lines)], SCHEMA)
+    rows = {r.places: r for r in line_dedup.signatures(docs).collect()}
+    assert sorted(rows) == [26, 56, 296, 2996] and {r.n for r in rows.values()} == {2}
+    assert len(rows[26].bands) == 30 and 30 < len(rows[56].bands) <= 58 and len(rows[296].bands) == len(rows[2996].bands) == 28
+    assert len({b for r in rows.values() for b in r.bands}) == sum(len(r.bands) for r in rows.values())
+    cells = line_dedup.cell_rows(line_dedup.lines_of(docs, "doc_id", "text").select("h1", "h2", "line"))
+    assert cells.count() <= 4 * line_dedup.CELLS
